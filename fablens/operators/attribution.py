@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 from fablens import constants as K
 from fablens.functions import numbers as N
-from fablens.sources.shared import literal_table
+from fablens.sources.shared import literal_table, materialize
+from fablens.sources.telemetry import to_readings
 
 
-def column_means(vectors: DataFrame) -> DataFrame:
-    """Mean, population deviation and count per sensor of an array column."""
-    return (
-        vectors.select(F.posexplode("values").alias("_pos", "value"))
-        .groupBy((F.col("_pos") + 1).alias("sensor_id"))
+def fit_means(vectors: DataFrame) -> DataFrame:
+    """Mean, population deviation and count per sensor of an array column, written once."""
+    stats = (
+        to_readings(vectors)
+        .groupBy("sensor_id")
         .agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("value").alias("rows"))
     )
+    return materialize(stats, "sensor-means")
 
 
 def contributions(values: Column, weights: Column, means: Column) -> Column:
@@ -34,8 +36,9 @@ def linear_shap(vectors: DataFrame, weights: Column, means: Column) -> DataFrame
     """Long form: one attribution per lot and sensor."""
     return (
         vectors.withColumns({"_w": weights, "_m": means})
-        .select("production_id", F.posexplode(contributions(F.col("values"), F.col("_w"), F.col("_m"))).alias("_pos", "shap"))
-        .select("production_id", (F.col("_pos") + 1).alias("sensor_id"), "shap")
+        .withColumn("values", contributions(F.col("values"), F.col("_w"), F.col("_m")))
+        .transform(to_readings)
+        .withColumnRenamed("value", "shap")
     )
 
 

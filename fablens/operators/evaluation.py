@@ -78,10 +78,14 @@ def threshold_curve(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     # Scores below the grid (slot -1) count in the totals but make no threshold.
-    grid = slots.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg")).withColumn(
-        "slot", F.explode(F.sequence(F.lit(0), F.lit(K.GRID_STEPS - 1)))
+    packed = slots.groupBy(*by).agg(
+        F.sum("pos").alias("all_pos"),
+        F.sum("neg").alias("all_neg"),
+        F.map_from_entries(F.collect_list(F.struct("slot", F.struct("pos", "neg")))).alias("at"),
     )
-    filled = grid.join(slots, [*by, "slot"], "left").fillna(0, ["pos", "neg"])
+    grid = packed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(K.GRID_STEPS - 1))))
+    here = F.try_element_at("at", "slot")
+    filled = grid.withColumns({c: F.coalesce(here[c], F.lit(0)) for c in ("pos", "neg")})
     at_or_above = Window.partitionBy(*by).orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, 0)
     tp, fp = F.sum("pos").over(at_or_above), F.sum("neg").over(at_or_above)
     curve = filled.select(*by, "slot", "all_pos", "all_neg", tp.alias("tp"), fp.alias("fp"))

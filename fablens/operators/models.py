@@ -45,7 +45,7 @@ def _features(df: DataFrame) -> DataFrame:
 def standardize_vectors(vectors: DataFrame, means: Column, deviations: Column) -> DataFrame:
     """(x - mean) / deviation in each row; a sensor without deviation is only centred.
 
-    Fit on training rows with ``attribution.column_means`` (population deviation).
+    Fit on training rows with ``attribution.fit_means`` (population deviation).
     """
     scaled = F.transform(
         F.arrays_zip(F.col("values").alias("v"), F.col("_m").alias("m"), F.col("_s").alias("s")),

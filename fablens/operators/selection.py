@@ -114,10 +114,13 @@ def separation_score(readings: DataFrame, y: str = "y") -> DataFrame:
 
 
 def composite_rank(ranking: DataFrame, w_rf: float = 0.7, w_mi: float = 0.3) -> DataFrame:
-    """Blend of both importances, each divided by its maximum (by 1 where that is 0)."""
+    """Blend of both importances, each divided by its maximum (by 1 where that is 0).
+
+    ``ranking`` has one row per sensor, so the maxima are taken over a small window.
+    """
 
     def scaled(column: str) -> Column:
-        top = ranking.agg(F.max(column)).scalar()
+        top = F.max(column).over(Window.partitionBy())
         return F.col(column) / F.when(top > 0, top).otherwise(1.0)
 
     blended = scaled("rf_importance") * w_rf + scaled("mutual_info") * w_mi

@@ -7,7 +7,7 @@ most one row per calendar day, however many runs it had.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,21 +17,28 @@ SERIES = ["total_runs", "defect_runs", "yield_rate_pct", "total_scrap_cost_gbp"]
 FEATURES = ["defect_runs_lag1", "defect_runs_lag7", "defect_runs_roll7_mean", "defect_runs_roll7_std", "day_of_week"]
 
 
+def _ordered(by: list[str]):
+    return Window.partitionBy(*by).orderBy("run_date") if by else Window.orderBy("run_date")
+
+
 def calendar_densify(daily: DataFrame, by: list[str] | None = None, fill_yield: bool = True) -> DataFrame:
     """Every calendar day between the first and the last, missing days filled with 0.
 
     ``fill_yield=False`` leaves the yield of an idle day NULL instead of 0 %.
+    Each day brings along the idle days up to the next one, so the series is
+    read once and nothing is joined.
     """
     by = by or []
-    span = daily.groupBy(*by).agg(F.min("run_date").alias("_first"), F.max("run_date").alias("_last"))
-    grid = span.select(*by, F.explode(F.sequence("_first", "_last")).alias("run_date"))
-    dense = grid.join(daily, [*by, "run_date"], "left")
-    filled = [c for c in SERIES if c in daily.columns and (fill_yield or c != "yield_rate_pct")]
-    return dense.fillna(0, filled)
+    until = F.date_sub(F.lead("run_date").over(_ordered(by)), 1)
+    spans = daily.withColumn("_until", F.coalesce(until, "run_date"))
+    days = spans.withColumn("_day", F.explode(F.sequence("run_date", "_until")))
 
+    def value(column: str) -> Column:
+        idle = F.lit(0) if fill_yield or column != "yield_rate_pct" else F.lit(None)
+        filled = F.when(F.col("_day") == F.col("run_date"), F.col(column)).otherwise(idle)
+        return filled.cast(daily.schema[column].dataType).alias(column)
 
-def _ordered(by: list[str]):
-    return Window.partitionBy(*by).orderBy("run_date") if by else Window.orderBy("run_date")
+    return days.select(*by, F.col("_day").alias("run_date"), *[value(c) for c in SERIES if c in daily.columns])
 
 
 def lag_features(daily: DataFrame, column: str = "defect_runs", by: list[str] | None = None) -> DataFrame:
@@ -63,8 +70,5 @@ def forecast_features(dense: DataFrame, by: list[str] | None = None, exclude_cur
 
 def holdout_tail(dense: DataFrame, days: int = 14, by: list[str] | None = None) -> DataFrame:
     """Mark the last ``days`` days of each series as holdout."""
-    if by:
-        last = F.max("run_date").over(Window.partitionBy(*by))
-    else:
-        last = dense.agg(F.max("run_date")).scalar()
+    last = F.max("run_date").over(Window.partitionBy(*(by or [])))
     return dense.withColumn("is_holdout", F.col("run_date") > F.date_sub(last, days))

@@ -11,9 +11,9 @@ collected or sorted. The split itself is a filter that reaches the scan.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,18 +36,18 @@ def _at(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _boundary(df: DataFrame, bucket: Column, rank: int) -> tuple[object, int]:
-    """The bucket that holds row number ``rank``, and the rank inside it."""
-    upto = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
-    row = (
-        df.groupBy(bucket.alias("b"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("upto", upto)
-        .where(F.col("upto") >= rank)
-        .orderBy("b")
-        .first()
-    )
-    return row["b"], rank - (row["upto"] - row["n"])
+def _boundary(df: DataFrame, bucket: Column, rank: Column) -> Row | None:
+    """The bucket that holds row number ``rank``: its value ``b``, the rank inside it, the rank and all rows.
+
+    ``rank`` may refer to ``total``, the number of rows. NULL buckets come last.
+    """
+    order = F.asc_nulls_last("b")
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = F.sum("n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    counts = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
+    placed = counts.withColumns({"upto": upto, "total": F.sum("n").over(everything)}).withColumn("rank", rank)
+    inside = (F.col("rank") - (F.col("upto") - F.col("n"))).alias("inside")
+    return placed.where("upto >= rank").orderBy(order).select("b", inside, "rank", "total").first()
 
 
 def _nth_id(rows: DataFrame, key: str, rank: int) -> int:
@@ -55,8 +55,9 @@ def _nth_id(rows: DataFrame, key: str, rank: int) -> int:
     low, high = rows.agg(F.min(key), F.max(key)).first()
     while low < high:
         width = (high - low) // ID_RANGES + 1
-        index, rank = _boundary(rows, F.expr(f"({key} - {low}L) div {width}L"), rank)
-        low, high = low + index * width, min(high, low + (index + 1) * width - 1)
+        found = _boundary(rows, F.expr(f"({key} - {low}L) div {width}L"), F.lit(rank))
+        rank = found["inside"]
+        low, high = low + found["b"] * width, min(high, low + (found["b"] + 1) * width - 1)
         rows = rows.where(F.col(key).between(low, high))
     return low
 
@@ -64,18 +65,20 @@ def _nth_id(rows: DataFrame, key: str, rank: int) -> int:
 def chronological_cut(df: DataFrame, ts: str = "event_ts", key: str = "production_id", ratio: float = 0.8) -> Cut:
     """Cut point that puts the first floor(ratio * n) rows into training."""
     rows = df.select(F.col(ts).cast("timestamp_ntz").alias("ts"), F.col(key).alias("id"))
-    total, timed = rows.agg(F.count("*"), F.count("ts")).first()
-    train = int(total * ratio)
-    if train == 0:
-        return Cut(None, None, total, 0)
-    if train > timed:
+    found = _boundary(rows, F.date_trunc("day", "ts").cast("timestamp_ntz"), F.floor(F.col("total") * ratio))
+    if found is None or found["rank"] == 0:
+        return Cut(None, None, found["total"] if found else 0, 0)
+    if found["b"] is None:
         raise ValueError("the training share reaches into rows without a timestamp")
-    rows, rank = rows.where("ts is not null"), train
-    for unit, span in (("day", timedelta(days=1)), ("second", timedelta(seconds=1))):
-        start, rank = _boundary(rows, F.date_trunc(unit, "ts").cast("timestamp_ntz"), rank)
-        rows = rows.where((F.col("ts") >= _at(start)) & (F.col("ts") < _at(start + span)))
-    instant, rank = _boundary(rows, F.col("ts"), rank)
-    last = _nth_id(rows.where(F.col("ts") == _at(instant)), "id", rank)
+    total, train = found["total"], found["rank"]
+    day = _at(found["b"])
+    rows = rows.where((F.col("ts") >= day) & (F.col("ts") < day + F.expr("interval 1 day")))
+    found = _boundary(rows, F.date_trunc("second", "ts").cast("timestamp_ntz"), F.lit(found["inside"]))
+    second = _at(found["b"])
+    rows = rows.where((F.col("ts") >= second) & (F.col("ts") < second + F.expr("interval 1 second")))
+    found = _boundary(rows, F.col("ts"), F.lit(found["inside"]))
+    instant = found["b"]
+    last = _nth_id(rows.where(F.col("ts") == _at(instant)), "id", found["inside"])
     return Cut(instant, last, total, train)
 
 

@@ -166,7 +166,7 @@ def pivot_readings(spark, folder):
 
 
 def rounded_means(vectors):
-    means = attribution.column_means(vectors).select("sensor_id", F.round("mean", 9).alias("mean"))
+    means = attribution.fit_means(vectors).select("sensor_id", F.round("mean", 9).alias("mean"))
     return selection.as_vector(means, "mean", WIDTH)
 
 

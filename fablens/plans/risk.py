@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fablens.operators import dispatch, evaluation, models, star
-from fablens.operators.attribution import column_means
+from fablens.operators.attribution import fit_means
 from fablens.operators.selection import as_vector
 from fablens.plans import checks as Q
 from fablens.plans.registry import query
@@ -55,7 +55,7 @@ def class_weights(spark, folder):
 )
 def standardize(spark, folder):
     vectors = plain_vectors(spark, folder)
-    fitted = column_means(vectors)
+    fitted = fit_means(vectors)
     z = models.standardize_vectors(vectors, as_vector(fitted, "mean", WIDTH), as_vector(fitted, "std", WIDTH))
     return telemetry.to_readings(z).select("production_id", "sensor_id", F.round("value", 6).alias("z"))
 

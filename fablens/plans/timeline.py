@@ -11,6 +11,7 @@ from fablens.plans.kpis import cells
 from fablens.plans.registry import query
 from fablens.plans.warehouse import outcomes
 from fablens.sources import bindings as B
+from fablens.sources.shared import materialize
 
 
 def daily(spark, folder):
@@ -165,7 +166,7 @@ def forecast_table(spark, folder):
                round(predicted + s * CAST(1.96 AS DOUBLE), 6) AS upper FROM marked, spread WHERE is_holdout""",
 )
 def forecast_bounds(spark, folder):
-    marked = naive(spark, folder)
+    marked = materialize(naive(spark, folder), "naive-forecast")
     bounds = forecast.forecast_bounds(marked.where("not is_holdout"), marked.where("is_holdout"))
     return _rounded(bounds, "lower", "upper")
 

@@ -26,6 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="fablens-")
     spark.conf.set("spark.checkpoint.dir", folder)
+    context.setCheckpointDir(folder)
     return folder
 
 

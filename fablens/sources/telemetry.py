@@ -89,10 +89,15 @@ def sensor_catalog(spark: SparkSession, sensors: list[str]) -> DataFrame:
 
 
 def to_readings(vectors: DataFrame, *keep: str) -> DataFrame:
-    """Long form: one row per unit and sensor, missing readings kept as NULL."""
-    return vectors.select(
-        "production_id", *keep, F.posexplode("values").alias("_pos", "value")
-    ).select("production_id", *keep, (F.col("_pos") + 1).alias("sensor_id"), "value")
+    """Long form: one row per unit and sensor, missing readings kept as NULL.
+
+    The outer form is used because the inner one adds a filter on the array's
+    size, which would evaluate the expression behind ``values`` once more per row.
+    """
+    exploded = vectors.select("production_id", *keep, F.posexplode_outer("values").alias("_pos", "value"))
+    return exploded.where("_pos is not null").select(
+        "production_id", *keep, (F.col("_pos") + 1).alias("sensor_id"), "value"
+    )
 
 
 def payload_map(codes: Column, values: Column) -> Column:
