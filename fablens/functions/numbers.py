@@ -39,8 +39,16 @@ def sensor_code(sensor_id: Column) -> Column:
 
 
 def lot_code(production_id: Column) -> Column:
-    """LOT_0001 style; ids above 9999 keep all their digits."""
-    return F.format_string("LOT_%04d", production_id)
+    """LOT_0001 style; ids above 9999 keep all their digits.
+
+    Same text as ``LOT_%04d``, without a formatter call per row for the usual ids.
+    """
+    digits = production_id.cast("string")
+    return (
+        F.when(production_id > 9999, F.concat(F.lit("LOT_"), digits))
+        .when(production_id >= 0, F.concat(F.lit("LOT_"), F.lpad(digits, 4, "0")))
+        .otherwise(F.format_string("LOT_%04d", production_id))
+    )
 
 
 def percent_text(share: Column, digits: int) -> Column:

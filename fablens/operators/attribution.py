@@ -71,15 +71,27 @@ def top_risk_drivers(importance: DataFrame, k: int = 10) -> DataFrame:
 
 
 def lot_top_drivers(vectors: DataFrame, weights: Column, means: Column, n: int = 3) -> DataFrame:
-    """The n strongest sensors of every lot, picked inside the row."""
-    drivers = F.transform(
-        contributions(F.col("values"), F.col("_w"), F.col("_m")),
-        # Sorting ascending on the negated size puts the strongest first and breaks ties by sensor.
-        lambda s, i: F.struct((-F.abs(s)).alias("order"), (i + 1).alias("sensor_id"), s.alias("shap")),
+    """The n strongest sensors of every lot, picked inside the row.
+
+    The n-th largest size is found on plain numbers; only sensors that reach it
+    (n, or more on ties) are built as structs and ordered, ties by sensor.
+    """
+    shap = F.col("_shap")
+    sizes = F.sort_array(F.transform(shap, lambda s: F.abs(s)), asc=False)
+    cutoff = F.coalesce(F.get(sizes, F.lit(n - 1)), F.lit(0.0))
+    entries = F.transform(
+        shap,
+        lambda s, i: F.when(
+            F.abs(s) >= F.col("_cutoff"),
+            F.struct((-F.abs(s)).alias("order"), (i + 1).alias("sensor_id"), s.alias("shap")),
+        ),
     )
-    top = F.slice(F.array_sort(F.filter(drivers, lambda d: d["order"].isNotNull())), 1, n)
+    top = F.slice(F.array_sort(F.array_compact(entries)), 1, n)
     return (
         vectors.withColumns({"_w": weights, "_m": means})
-        .select("production_id", F.posexplode(top).alias("_pos", "d"))
+        .select("production_id", contributions(F.col("values"), F.col("_w"), F.col("_m")).alias("_shap"))
+        .withColumn("_cutoff", cutoff)
+        .select("production_id", F.posexplode_outer(top).alias("_pos", "d"))
+        .where("_pos is not null")
         .select("production_id", (F.col("_pos") + 1).alias("driver_rank"), "d.sensor_id", "d.shap")
     )

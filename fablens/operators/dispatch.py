@@ -49,11 +49,14 @@ def tier_summary(routed: DataFrame) -> DataFrame:
     return counts.withColumn("share_pct", N.pct(F.col("lots"), F.sum("lots").over(every), 1))
 
 
-def dispatch_queue(alerts: DataFrame, k: int | None = None) -> DataFrame:
-    """Alerts by urgency, then risk. ``k`` keeps the head of the queue (a distributed top-k)."""
+def dispatch_queue(routed: DataFrame, k: int | None = None) -> DataFrame:
+    """Alerts by urgency, then risk. ``k`` keeps the head of the queue (a distributed top-k).
+
+    Ordering comes first, so the alert texts are only built for rows that stay.
+    """
     urgency = F.when(F.col("alert_urgency") == "URGENT", 1).when(F.col("alert_urgency") == "MEDIUM", 2).otherwise(3)
-    queue = alerts.orderBy(urgency, F.desc("failure_risk_pct"), "production_id")
-    return queue.limit(k) if k else queue
+    queue = routed.orderBy(urgency, F.round(F.col("p") * 100, 2).desc(), "production_id")
+    return operational_alerts(queue.limit(k) if k else queue)
 
 
 def mitigated_cost_by_tier(routed: DataFrame) -> DataFrame:

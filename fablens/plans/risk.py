@@ -234,7 +234,7 @@ def tier_summary(spark, folder):
         failure_risk_pct DESC, production_id LIMIT 100""",
 )
 def dispatch_queue(spark, folder):
-    return dispatch.dispatch_queue(dispatch.operational_alerts(routed(spark, folder)), 100)
+    return dispatch.dispatch_queue(routed(spark, folder), 100)
 
 
 @query(

@@ -301,13 +301,15 @@ def scan_sql(spark, folder):
     """The shift report as SQL text over the two star tables."""
     u = units(spark, folder)
     text = """
-        SELECT p.shift_code, count(p.production_id) AS total_runs,
-               sum(CASE WHEN q.is_defect THEN 1 ELSE 0 END) AS defective_units,
-               round(sum(CASE WHEN q.is_defect THEN 1D ELSE 0D END) / count(p.production_id) * 100, 2) AS defect_rate_pct,
-               round(sum(CASE WHEN q.is_defect THEN 0D ELSE 1D END) / count(p.production_id) * 100, 2) AS yield_rate_pct,
-               sum(q.estimated_scrap_cost) AS total_scrap_cost_gbp
-        FROM {production} p JOIN {quality} q ON p.production_id = q.production_id
-        GROUP BY p.shift_code ORDER BY defect_rate_pct DESC"""
+        WITH shifts AS (
+          SELECT shift_code, count(*) AS total_runs, count_if(is_defect) AS defective_units,
+                 sum(estimated_scrap_cost) AS total_scrap_cost_gbp
+          FROM {production} JOIN {quality} USING (production_id)
+          GROUP BY shift_code)
+        SELECT shift_code, total_runs, defective_units, total_scrap_cost_gbp,
+               round(double(defective_units) / total_runs * 100, 2) AS defect_rate_pct,
+               round(double(total_runs - defective_units) / total_runs * 100, 2) AS yield_rate_pct
+        FROM shifts ORDER BY defect_rate_pct DESC, shift_code"""
     return sinks.scan_sql(
         spark, text, production=star.dim_production_entity(u), quality=star.fact_quality_outcome(u)
     )

@@ -56,7 +56,9 @@ def test_safe_divide(spark):
 
 def test_codes_keep_long_ids(spark):
     assert one(spark, N.lot_code(F.lit(7))) == "LOT_0007"
+    assert one(spark, N.lot_code(F.lit(9999))) == "LOT_9999"
     assert one(spark, N.lot_code(F.lit(123456))) == "LOT_123456"
+    assert one(spark, N.lot_code(F.lit(-5))) == "LOT_-005"
     assert one(spark, N.sensor_alias(F.lit(12))) == "sensor_012"
     assert one(spark, N.percent_text(F.lit(0.98), 1)) == "98.0%"
 

@@ -51,7 +51,7 @@ def test_whole_table_as_training(spark):
     assert (train.count(), test.count()) == (10, 0)
 
 
-def test_reference_size(spark):
+def test_published_size(spark):
     """80 % of 1,567 rows is 1,253, the rest 314."""
     rows = [(START + timedelta(minutes=5 * (i // 2)), i) for i in range(1567)]
     train, test = split.chronological_split(frame(spark, rows))
