@@ -1,14 +1,15 @@
 """Cost-sensitive evaluation of risk scores.
 
-All metrics start from ``score_counts``: positives and negatives per model and
-distinct score. That table is one shuffle of folded counts; the threshold
-curve, confusion matrix, ROC-AUC, average precision and leaderboard read it
-instead of the raw scores, for all models at once.
+Scored rows have columns p and y (0 or 1). Confusion counts and the threshold
+curve fold them straight into a handful of groups. ROC-AUC and average
+precision need every distinct score, so they start from ``score_counts``:
+positives and negatives per model and score. Every function takes either form,
+and all models at once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -18,36 +19,35 @@ from fablens.operators.ranked import running_totals
 from fablens.sources.shared import materialize
 
 
+def _tallies(frame: DataFrame) -> tuple[Column, Column]:
+    """Positives and negatives that a row stands for: one scored row, or a score's counts."""
+    if "y" in frame.columns:
+        return F.when(F.col("y") == 1, 1).otherwise(0), F.when(F.col("y") == 0, 1).otherwise(0)
+    return F.col("pos"), F.col("neg")
+
+
 def score_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
-    return scored.groupBy(*(by or []), "p").agg(
-        N.count_where(F.col("y") == 1).alias("pos"), N.count_where(F.col("y") == 0).alias("neg")
-    )
+    pos, neg = _tallies(scored)
+    return scored.groupBy(*(by or []), "p").agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
 
 
-def confusion_at(counts: DataFrame, flagged, by: list[str] | None = None) -> DataFrame:
-    """tn, fp, fn, tp where ``flagged`` says which scores are predicted defects."""
+def confusion_at(scores: DataFrame, flagged: Column, by: list[str] | None = None) -> DataFrame:
+    """tn, fp, fn, tp where ``flagged`` says which scores are predicted defects. One aggregate."""
+    pos, neg = _tallies(scores)
 
-    def total(column, condition):
-        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+    def total(column: Column, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, column)), F.lit(0))
 
-    return counts.groupBy(*(by or [])).agg(
-        total("neg", ~flagged).alias("tn"),
-        total("neg", flagged).alias("fp"),
-        total("pos", ~flagged).alias("fn"),
-        total("pos", flagged).alias("tp"),
+    return scores.groupBy(*(by or [])).agg(
+        total(neg, ~flagged).alias("tn"),
+        total(neg, flagged).alias("fp"),
+        total(pos, ~flagged).alias("fn"),
+        total(pos, flagged).alias("tp"),
     )
 
 
-def confusion_matrix(scored: DataFrame, threshold: float, by: list[str] | None = None) -> DataFrame:
-    """Straight from scored rows, one aggregate."""
-    hit = F.col("p") >= threshold
-    bad = F.col("y") == 1
-    return scored.groupBy(*(by or [])).agg(
-        N.count_where(~bad & ~hit).alias("tn"),
-        N.count_where(~bad & hit).alias("fp"),
-        N.count_where(bad & ~hit).alias("fn"),
-        N.count_where(bad & hit).alias("tp"),
-    )
+def confusion_matrix(scores: DataFrame, threshold: float, by: list[str] | None = None) -> DataFrame:
+    return confusion_at(scores, F.col("p") >= threshold, by)
 
 
 def with_cost(matrix: DataFrame, c_fn: float = K.SCRAP_COST, c_fp: float = K.INSPECTION_COST) -> DataFrame:
@@ -62,11 +62,11 @@ def cost_of_quality(
 
 def default_threshold_cost(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Cost of a classifier's own decision: the defect class must be the likelier one (p > 0.5)."""
-    return with_cost(confusion_at(score_counts(scored, by), F.col("p") > 0.5, by))
+    return with_cost(confusion_at(scored, F.col("p") > 0.5, by))
 
 
 def threshold_curve(
-    counts: DataFrame, by: list[str] | None = None, c_fn: float = K.SCRAP_COST, c_fp: float = K.INSPECTION_COST
+    scores: DataFrame, by: list[str] | None = None, c_fn: float = K.SCRAP_COST, c_fp: float = K.INSPECTION_COST
 ) -> DataFrame:
     """Confusion counts and cost at every grid threshold, from one pass over the scores.
 
@@ -74,8 +74,9 @@ def threshold_curve(
     89 thresholds are then running sums over at most 90 slots per model.
     """
     by = by or []
-    slots = counts.groupBy(*by, N.grid_index(F.col("p")).alias("slot")).agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    pos, neg = _tallies(scores)
+    slots = scores.groupBy(*by, N.grid_index(F.col("p")).alias("slot")).agg(
+        F.sum(pos).alias("pos"), F.sum(neg).alias("neg")
     )
     # Scores below the grid (slot -1) count in the totals but make no threshold.
     packed = slots.groupBy(*by).agg(

@@ -5,7 +5,7 @@ cut is found by counting: rows per day, then per second of the boundary day,
 then per microsecond of the boundary second, then per id range within one
 instant. Each step is a filtered aggregate with a bounded number of groups, so
 a day, second or instant that holds a third of all rows is counted, never
-collected or sorted. The split itself is a filter that reaches the scan.
+collected or sorted; only a bucket known to be small is ordered. The split itself is a filter that reaches the scan.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from pyspark.sql.window import Window
 # Ids within one instant are counted in at most this many ranges per step.
 ID_RANGES = 65_536
 
+# A bucket of at most this many rows is ordered outright.
+SMALL = 100_000
+
 
 @dataclass(frozen=True)
 class Cut:
@@ -37,7 +40,8 @@ def _at(moment: datetime) -> Column:
 
 
 def _boundary(df: DataFrame, bucket: Column, rank: Column) -> Row | None:
-    """The bucket that holds row number ``rank``: its value ``b``, the rank inside it, the rank and all rows.
+    """The bucket that holds row number ``rank``: its value ``b``, its rows ``n``, the rank inside it,
+    the rank and the number of all rows.
 
     ``rank`` may refer to ``total``, the number of rows. NULL buckets come last.
     """
@@ -47,7 +51,7 @@ def _boundary(df: DataFrame, bucket: Column, rank: Column) -> Row | None:
     counts = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
     placed = counts.withColumns({"upto": upto, "total": F.sum("n").over(everything)}).withColumn("rank", rank)
     inside = (F.col("rank") - (F.col("upto") - F.col("n"))).alias("inside")
-    return placed.where("upto >= rank").orderBy(order).select("b", inside, "rank", "total").first()
+    return placed.where("upto >= rank").orderBy(order).select("b", "n", inside, "rank", "total").first()
 
 
 def _nth_id(rows: DataFrame, key: str, rank: int) -> int:
@@ -71,15 +75,15 @@ def chronological_cut(df: DataFrame, ts: str = "event_ts", key: str = "productio
     if found["b"] is None:
         raise ValueError("the training share reaches into rows without a timestamp")
     total, train = found["total"], found["rank"]
-    day = _at(found["b"])
-    rows = rows.where((F.col("ts") >= day) & (F.col("ts") < day + F.expr("interval 1 day")))
-    found = _boundary(rows, F.date_trunc("second", "ts").cast("timestamp_ntz"), F.lit(found["inside"]))
-    second = _at(found["b"])
-    rows = rows.where((F.col("ts") >= second) & (F.col("ts") < second + F.expr("interval 1 second")))
-    found = _boundary(rows, F.col("ts"), F.lit(found["inside"]))
-    instant = found["b"]
-    last = _nth_id(rows.where(F.col("ts") == _at(instant)), "id", found["inside"])
-    return Cut(instant, last, total, train)
+    for unit in ("day", "second", "microsecond"):
+        if unit != "day":
+            found = _boundary(rows, F.date_trunc(unit, "ts").cast("timestamp_ntz"), F.lit(found["inside"]))
+        start = _at(found["b"])
+        rows = rows.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr(f"interval 1 {unit}")))
+        if found["n"] <= SMALL:
+            row = rows.orderBy("ts", "id").offset(found["inside"] - 1).first()
+            return Cut(row["ts"], row["id"], total, train)
+    return Cut(found["b"], _nth_id(rows, "id", found["inside"]), total, train)
 
 
 def in_training(cut: Cut, ts: str = "event_ts", key: str = "production_id") -> Column:

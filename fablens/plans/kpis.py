@@ -9,6 +9,7 @@ from fablens.plans import checks as Q
 from fablens.plans.registry import query
 from fablens.plans.warehouse import SHIFT_CHECK, masked_stats, outcomes
 from fablens.sources import bindings as B
+from fablens.sources import sinks
 
 
 def cells(spark, folder, *keys):
@@ -158,6 +159,31 @@ def daily_yield_by_tool(spark, folder):
     return kpi.daily_yield_series(by_tool, "tool")
 
 
+@query(
+    "analytics_views",
+    f"""WITH {Q.STAR}, daily AS (SELECT run_date, {Q.TOTAL} AS n, {Q.YIELD_PCT} AS pct FROM star GROUP BY run_date),
+        shift AS (SELECT shift_code, {Q.TOTAL} AS n, {Q.DEFECT_PCT} AS pct FROM star GROUP BY shift_code),
+        {Q.SENSOR}
+        SELECT 'best_day' AS report, max(pct) AS figure FROM daily
+        UNION ALL SELECT 'worst_shift', max(pct) FROM shift
+        UNION ALL SELECT 'candidates', CAST(count(*) AS DOUBLE) FROM sensor WHERE NOT is_quarantined""",
+)
+def analytics_views(spark, folder):
+    """The three reporting views, read back through SQL."""
+    by_shift = cells(spark, folder, "run_date", "shift_code")
+    sinks.register_views(
+        v_production_yield_daily=kpi.production_yield_daily(by_shift),
+        v_shift_performance=kpi.shift_performance(by_shift),
+        v_sensor_governance_summary=kpi.sensor_governance_summary(star.dim_sensor(masked_stats(spark, folder))),
+    )
+    return sinks.scan_sql(
+        spark,
+        """SELECT 'best_day' AS report, max(yield_rate_pct) AS figure FROM v_production_yield_daily
+           UNION ALL SELECT 'worst_shift', max(shift_defect_rate_pct) FROM v_shift_performance
+           UNION ALL SELECT 'candidates', double(candidate_features_for_ml) FROM v_sensor_governance_summary""",
+    )
+
+
 @query(
     "daily_cells",
     f"""WITH {Q.STAR} SELECT run_date, shift_code, {Q.TOTAL} AS units, {Q.DEFECTS} AS defects,

@@ -98,7 +98,7 @@ def default_threshold_cost(spark, folder):
 
 @query("threshold_curve", f"WITH {Q.SCORED_MODELS}, {Q.CURVE} SELECT * FROM costed")
 def threshold_curve(spark, folder):
-    return evaluation.threshold_curve(evaluation.score_counts(contest(spark, folder), MODEL), MODEL)
+    return evaluation.threshold_curve(contest(spark, folder), MODEL)
 
 
 BEST = """best AS (
@@ -107,7 +107,7 @@ BEST = """best AS (
 
 @query("optimize_threshold", f"WITH {Q.SCORED_MODELS}, {Q.CURVE}, {BEST} SELECT * FROM best")
 def optimize_threshold(spark, folder):
-    curve = evaluation.threshold_curve(evaluation.score_counts(contest(spark, folder), MODEL), MODEL)
+    curve = evaluation.threshold_curve(contest(spark, folder), MODEL)
     return evaluation.optimize_threshold(curve, MODEL)
 
 
@@ -162,7 +162,7 @@ def rank_metrics_continuous(spark, folder):
                round(((tp + fn) * 450 - cost_gbp) / CAST((tp + fn) * 450 AS DOUBLE) * 100, 2) AS cost_savings_pct FROM best""",
 )
 def savings_vs_baseline(spark, folder):
-    curve = evaluation.threshold_curve(evaluation.score_counts(contest(spark, folder), MODEL), MODEL)
+    curve = evaluation.threshold_curve(contest(spark, folder), MODEL)
     return evaluation.savings_vs_baseline(evaluation.optimize_threshold(curve, MODEL))
 
 
@@ -214,7 +214,7 @@ def operational_alerts(spark, folder):
 def route_by_champion(spark, folder):
     """Tier bound taken from the cost-optimal threshold, inside the same query."""
     scored = B.scored_units(B.table(spark, folder, "events"))
-    best = evaluation.optimize_threshold(evaluation.threshold_curve(evaluation.score_counts(scored)))
+    best = evaluation.optimize_threshold(evaluation.threshold_curve(scored))
     tiers = dispatch.route_lots(scored, best.select("threshold").scalar())
     return tiers.groupBy("risk_tier").agg(F.count("*").alias("lots"))
 

@@ -82,6 +82,12 @@ def audit_append(summary: DataFrame, batch_id: str, path: str, notes: str | None
     return summary.sparkSession.read.schema(AUDIT).parquet(path)
 
 
+def register_views(**frames: DataFrame) -> None:
+    """Named views over frames, for reports written in SQL."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
 def scan_sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
     """Run SQL text over named frames: ``{view}`` in the text stands for a frame."""
     return spark.sql(text, **views)

@@ -66,7 +66,9 @@ def brute_curve(rows):
 def test_curve_equals_brute_force_and_lowest_threshold_wins(spark):
     r = random.Random(9)
     rows = [(r.choice([r.random(), r.randrange(100) / 100]), int(r.random() < 0.1)) for _ in range(400)]
-    curve = evaluation.threshold_curve(evaluation.score_counts(scored(spark, rows)))
+    curve = evaluation.threshold_curve(scored(spark, rows))
+    folded = evaluation.threshold_curve(evaluation.score_counts(scored(spark, rows)))
+    assert sorted(map(tuple, curve.collect())) == sorted(map(tuple, folded.collect()))
     got = [tuple(x) for x in curve.select("threshold", "tn", "fp", "fn", "tp", "cost_gbp").orderBy("threshold").collect()]
     assert got == brute_curve(rows)
     best = evaluation.optimize_threshold(curve).first()

@@ -32,8 +32,11 @@ def test_profile_is_one_shuffle(spark, folder):
 
 
 def test_curve_reads_the_scores_once(spark, folder):
-    counts = evaluation.score_counts(B.scored_models(B.table(spark, folder, "lineitem")), ["model"])
-    assert plan_of(evaluation.threshold_curve(counts, ["model"])).count("FileScan") == 1
+    scored = B.scored_models(B.table(spark, folder, "lineitem"))
+    plan = plan_of(evaluation.threshold_curve(scored, ["model"]))
+    assert plan.count("FileScan") == 1
+    # Only the slots travel, not the distinct scores.
+    assert "hashpartitioning(model" in plan and "hashpartitioning(p" not in plan
 
 
 def test_route_is_shuffle_free(spark, folder):

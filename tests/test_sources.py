@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fablens import schema
-from fablens.operators import star
+from fablens.functions import calendar as C
+from fablens.operators import profiling, star
 from fablens.sources import bindings, shared, sinks, telemetry
 
 
@@ -139,3 +140,40 @@ def test_materialized_size_is_known(spark):
     small = shared.materialize(spark.range(10), "ten")
     size = small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     assert int(str(size)) < 1_000_000
+
+
+def test_published_summary_of_a_590_sensor_file(spark, tmp_path):
+    """A wide file with the published counts: 116 frozen sensors, 28 mostly missing, 104 fails."""
+    width, rows = 590, 1567
+    sensors = []
+    for s in range(width):
+        reading = F.col("id") * (s + 1) % 997 / F.lit(8.0)
+        if s < 116:
+            reading = F.lit(4.0)
+        elif s < 144:
+            reading = F.when(F.col("id") % 10 < 2, reading)
+        sensors.append(reading.alias(f"Attribute {s + 1}"))
+    ts = F.timestamp_add("MINUTE", F.col("id").cast("int") * 83, F.lit("2008-07-19 11:55:00").cast("timestamp_ntz"))
+    base = spark.range(0, rows, 1, 4)
+    wide = base.select(F.date_format(ts, "dd/MM/yyyy HH:mm:ss").alias("timestamp"), *sensors)
+    sinks.write_report(wide, str(tmp_path / "f"))
+    sinks.write_report(base.select(F.when(F.col("id") < 104, 1).otherwise(-1).alias("class")), str(tmp_path / "l"))
+
+    features = telemetry.read_telemetry(spark, str(tmp_path / "f"))
+    names = telemetry.sensor_columns(features)
+    assert len(names) == width
+    joined = telemetry.attach_labels(features, telemetry.read_telemetry(spark, str(tmp_path / "l"), ts=None))
+    joined = joined.withColumn("event_ts", C.parse_ts_mixed(F.col("timestamp")))
+    vectors = telemetry.to_vectors(joined, names, ["production_id", "event_ts", "raw_label"])
+    stats = profiling.sensor_stats(telemetry.to_readings(vectors))
+    summary = profiling.quality_summary(
+        stats, vectors, profiling.profile_duplicates(vectors.select("event_ts", "values")), "LINE"
+    ).first()
+    assert summary["rows"] == 1567 and summary["features"] == 591
+    assert summary["duplicate_rows"] == 0
+    assert summary["constant_columns"] == 116 and summary["columns_gt_50_pct_missing"] == 28
+    assert (summary["pass_observations"], summary["fail_observations"]) == (1463, 104)
+    assert summary["failure_rate_pct"] == 6.64
+    assert str(summary["timestamp_start"]) == "2008-07-19 11:55:00"
+    assert summary["quality_status"] == "WARNING"
+    assert star.candidate_sensors(star.dim_sensor(stats)).count() == 446

@@ -27,8 +27,10 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("ratio", [0.8, 0.31])
-def test_cut_equals_a_sort(spark, case, ratio):
+@pytest.mark.parametrize("ratio, small", [(0.8, 0), (0.31, 0), (0.31, 100_000)])
+def test_cut_equals_a_sort(spark, monkeypatch, case, ratio, small):
+    """With ``small`` 0 the cut is found by counting alone, down to the id."""
+    monkeypatch.setattr(split, "SMALL", small)
     r = random.Random(case)
     ids = r.sample(range(-5_000_000, 10**12), 700)
     rows = [(CASES[case](r, i), key) for i, key in enumerate(ids)]
