@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fablens import constants as K
+from fablens.functions import numbers as N
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,7 +56,7 @@ def event_payload(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("production_id"),
         F.col("event_type").alias("sensor_code"),
-        F.col("value"),
+        N.nan_to_null(F.col("value")).alias("value"),
     )
 
 

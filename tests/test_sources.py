@@ -165,6 +165,7 @@ def test_published_summary_of_a_590_sensor_file(spark, tmp_path):
     joined = telemetry.attach_labels(features, telemetry.read_telemetry(spark, str(tmp_path / "l"), ts=None))
     joined = joined.withColumn("event_ts", C.parse_ts_mixed(F.col("timestamp")))
     vectors = telemetry.to_vectors(joined, names, ["production_id", "event_ts", "raw_label"])
+    vectors = shared.materialize(vectors, "line-vectors")
     stats = profiling.sensor_stats(telemetry.to_readings(vectors))
     summary = profiling.quality_summary(
         stats, vectors, profiling.profile_duplicates(vectors.select("event_ts", "values")), "LINE"
