@@ -26,9 +26,9 @@ def running_totals(df: DataFrame, by: list[str], order: str, sums: list[str], de
     offsets = totals.select(
         *by, "_slice", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in sums]
     )
-    offsets = materialize(offsets, "slice-offsets")
 
     inside = Window.partitionBy(*by, "_slice").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    # Should the offsets be too many to broadcast, the join's shuffle is also the window's.
     joined = sliced.join(offsets, [*by, "_slice"])
     return joined.withColumns({f"{c}_upto": F.sum(c).over(inside) + F.col(f"_{c}") for c in sums}).drop(
         "_slice", *[f"_{c}" for c in sums]
