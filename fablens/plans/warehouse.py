@@ -186,17 +186,17 @@ def candidate_set_difference(spark, folder):
 
 @query(
     "integrity_checks",
-    f"""WITH {Q.UNITS}, {Q.PRODUCTION}, {Q.QUALITY}
+    f"""WITH {Q.UNITS}, {Q.PRODUCTION}, {Q.QUALITY}, {Q.SENSOR}
         SELECT 'production_pk' AS "check", (SELECT count(*) FROM (SELECT 1 FROM production GROUP BY production_id HAVING count(*) > 1)) AS violations
         UNION ALL SELECT 'quality_pk', (SELECT count(*) FROM (SELECT 1 FROM quality GROUP BY production_id HAVING count(*) > 1))
-        UNION ALL SELECT 'sensor_code_unique', 0
+        UNION ALL SELECT 'sensor_code_unique', (SELECT count(*) FROM (SELECT 1 FROM sensor GROUP BY sensor_code HAVING count(*) > 1))
         UNION ALL SELECT 'quality_production_fk', (SELECT count(*) FROM quality ANTI JOIN production USING (production_id))
         UNION ALL SELECT 'production_not_null_production_id', (SELECT count(*) FROM production WHERE production_id IS NULL)
         UNION ALL SELECT 'production_not_null_run_timestamp', (SELECT count(*) FROM production WHERE run_timestamp IS NULL)
         UNION ALL SELECT 'quality_not_null_raw_label', (SELECT count(*) FROM quality WHERE raw_label IS NULL)
         UNION ALL SELECT 'quality_not_null_is_defect', (SELECT count(*) FROM quality WHERE is_defect IS NULL)
-        UNION ALL SELECT 'sensor_not_null_sensor_code', 0
-        UNION ALL SELECT 'sensor_not_null_missing_rate_pct', 0""",
+        UNION ALL SELECT 'sensor_not_null_sensor_code', (SELECT count(*) FROM sensor WHERE sensor_code IS NULL)
+        UNION ALL SELECT 'sensor_not_null_missing_rate_pct', (SELECT count(*) FROM sensor WHERE missing_rate_pct IS NULL)""",
 )
 def integrity_checks(spark, folder):
     u = units(spark, folder)
@@ -327,7 +327,8 @@ def quality_summary_frame(spark, folder):
 
 SUMMARY = f"""{Q.STATS}, summary AS (
   SELECT 'SENSOR_ARRAYS' AS dataset, (SELECT count(*) FROM embeddings) AS n_rows,
-         (SELECT count(*) FROM stats) + 1 AS features, 0 AS duplicate_rows,
+         (SELECT count(*) FROM stats) + 1 AS features,
+         (SELECT count(*) - count(DISTINCT (vec_id, embedding)) FROM embeddings) AS duplicate_rows,
          (SELECT round(CAST(sum(missing_count) AS DOUBLE) / CAST(sum(n_rows) AS DOUBLE) * 100, 2) FROM stats) AS missing_value_rate_pct,
          (SELECT count(*) FROM stats WHERE missing_rate > 50) AS columns_gt_50_pct_missing,
          (SELECT count(*) FROM stats WHERE is_constant) AS constant_columns,
@@ -336,7 +337,8 @@ SUMMARY = f"""{Q.STATS}, summary AS (
          (SELECT round(CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) / count(*) * 100, 2) FROM embeddings) AS failure_rate_pct,
          (SELECT TIMESTAMP '2008-07-19 11:55:00' + min(vec_id) * INTERVAL 1 HOUR FROM embeddings) AS timestamp_start,
          (SELECT TIMESTAMP '2008-07-19 11:55:00' + max(vec_id) * INTERVAL 1 HOUR FROM embeddings) AS timestamp_end,
-         'WARNING' AS quality_status)"""
+         CASE WHEN columns_gt_50_pct_missing > 0 OR constant_columns > 0 OR failure_rate_pct < 10
+              THEN 'WARNING' ELSE 'PASS' END AS quality_status)"""
 
 
 @query("quality_summary", f'WITH {SUMMARY} SELECT * RENAME (n_rows AS "rows") FROM summary')

@@ -33,8 +33,23 @@ def duck_rows(con, sql):
     return [names[i] for i in order], rows
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(df, con, sql, limit=3):
     """Empty when columns, types and values are equal, else a short description."""
+    declared = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    types = {c: SQL_TYPES.get(t, t) for c, t in df.dtypes}
+    if types != declared:
+        return f"types {sorted(set(types.items()) ^ set(declared.items()))}"
     columns, left = spark_rows(df)
     names, right = duck_rows(con, sql)
     if columns != names:
