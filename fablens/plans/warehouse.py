@@ -325,7 +325,7 @@ def quality_summary_frame(spark, folder):
     )
 
 
-SUMMARY = f"""{Q.STATS}, summary AS (
+SUMMARY = f"""{Q.STATS}, figures AS (
   SELECT 'SENSOR_ARRAYS' AS dataset, (SELECT count(*) FROM embeddings) AS n_rows,
          (SELECT count(*) FROM stats) + 1 AS features,
          (SELECT count(*) - count(DISTINCT (vec_id, embedding)) FROM embeddings) AS duplicate_rows,
@@ -336,9 +336,9 @@ SUMMARY = f"""{Q.STATS}, summary AS (
          (SELECT count(*) FROM embeddings WHERE label = 0) AS fail_observations,
          (SELECT round(CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) / count(*) * 100, 2) FROM embeddings) AS failure_rate_pct,
          (SELECT TIMESTAMP '2008-07-19 11:55:00' + min(vec_id) * INTERVAL 1 HOUR FROM embeddings) AS timestamp_start,
-         (SELECT TIMESTAMP '2008-07-19 11:55:00' + max(vec_id) * INTERVAL 1 HOUR FROM embeddings) AS timestamp_end,
-         CASE WHEN columns_gt_50_pct_missing > 0 OR constant_columns > 0 OR failure_rate_pct < 10
-              THEN 'WARNING' ELSE 'PASS' END AS quality_status)"""
+         (SELECT TIMESTAMP '2008-07-19 11:55:00' + max(vec_id) * INTERVAL 1 HOUR FROM embeddings) AS timestamp_end), summary AS (
+  SELECT *, CASE WHEN columns_gt_50_pct_missing > 0 OR constant_columns > 0 OR failure_rate_pct < 10
+            THEN 'WARNING' ELSE 'PASS' END AS quality_status FROM figures)"""
 
 
 @query("quality_summary", f'WITH {SUMMARY} SELECT * RENAME (n_rows AS "rows") FROM summary')
