@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fablens.llm import sharding, token_counts
+from fablens.llm import line_dedup, sharding, token_counts
+from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -14,7 +16,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return function
@@ -34,3 +40,31 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"))
+
+
+OP10_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, u.i AS i, u.line AS line,
+         translate(regexp_replace(u.line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(list_zip(range(len(l)), l)) AS z FROM (
+          SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)) t,
+       LATERAL (SELECT z[1] AS i, z[2] AS line) u),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT l.doc_id, l.i, l.line, (r.key IS NOT NULL AND l.doc_id <> r.keeper) AS gone
+  FROM lines l LEFT JOIN repeated r ON l.key = r.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op10_line_dedup", OP10_SQL)
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))

@@ -101,6 +101,15 @@ def word_hashes(buffer: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return _sums(_WORD_CODES[buffer], starts) if len(starts) else np.zeros(0, np.uint64)
 
 
+def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the given byte ranges (disjoint, in order, not empty), A-Z lower-cased."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    values = np.append(_CODES[LOWER[buffer]] * _table("up", len(buffer)), np.uint64(0))
+    sums = np.add.reduceat(values, np.stack([starts, ends], 1).ravel())[::2]
+    return mix(sums * _table("down", int(starts[-1]) + 1)[starts])
+
+
 def shingle_hashes(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``n`` words within a row, and each row's first shingle.
 
