@@ -5,6 +5,10 @@ written to the shared folder. That cuts lineage, survives lost executors and
 gives the optimizer a real size: it broadcasts the table when the files are
 below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. No join
 in this library carries a broadcast hint.
+
+A query's result reads these tables lazily, so they must outlive the call that
+wrote them: ``discard`` removes one that nothing reads any more, ``cleanup``
+all that the session has written, once its results are stored.
 """
 
 from __future__ import annotations
@@ -15,14 +19,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_written: dict[str, list[str]] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named in ``spark.checkpoint.dir``; a temporary one only in local mode.
+
+    Outside local mode a bare path belongs to the cluster's default file system; it is refused
+    when that is the local one. ``file:`` names a mounted folder on purpose and is taken as shared.
+    """
     context = spark.sparkContext
+    local = context.master.startswith("local") and not context.master.startswith("local-cluster")
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if folder:
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if not local and "://" not in folder and not folder.startswith("file:") and default.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir is the local path {folder}; name a folder that all executors share")
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="fablens-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -32,7 +46,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/fablens/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/fablens/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def literal_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -45,4 +61,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return it as a scan of the written files."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` returned and nothing reads any more."""
+    for table in tables:
+        spark, path = table.sparkSession, table.written_to
+        _remove(spark, path)
+        kept = _written.get(spark.sparkContext.applicationId, [])
+        if path in kept:
+            kept.remove(path)
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Remove everything the session's calls have written and not discarded; returns how many tables."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        _remove(spark, path)
+    return len(paths)
