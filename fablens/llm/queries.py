@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fablens.llm import line_dedup, sharding, token_counts
+from fablens.llm import line_dedup, sharding, token_counts, topk, url_filter
 from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,88 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(docs)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+def _landing_sql(url: str) -> str:
+    """The address that ``url_filter.landing_url`` gives, in DuckDB's dialect."""
+    host = f"translate(regexp_extract({url}, '://([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+    bare = f"regexp_replace({host}, ':(?:80|443)$', '')"
+    site = rf"regexp_replace({bare}, '^(?:(?:{'|'.join(url_filter.MIRRORS)})\.)+([^.]+\.)', '\1')"
+    path = rf"regexp_replace(regexp_extract({url}, '://[^/?#]*([^?#]*)', 1), '(?:/index)?(?:\.html?)?/*$', '')"
+    asked = rf"string_split(regexp_extract({url}, '\?([^#]*)', 1), '&')"
+    names = ", ".join(f"'{n}'" for n in url_filter.TRACKING)
+    kept = f"array_to_string(list_sort(list_filter({asked}, lambda p: p <> '' AND split_part(p, '=', 1) NOT IN ({names}))), '&')"
+    return f"'https://' || {site} || {path} || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END"
+
+
+def _rule_sql(host: str, path: str, value) -> str:
+    cases = [
+        f"WHEN ({host} = '{h}' OR ends_with({host}, '.{h}')) AND starts_with({path}, '{p}') THEN '{value(v, h, p)}'"
+        for v, h, p in sorted(url_filter.RULES, key=lambda r: (-len(r[1] + r[2]), r[0] != "allow"))
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _op5_sql() -> str:
+    host = "translate(regexp_extract({0}, '://([^/?#]*)', 1), '%s', '%s')" % (url_filter.UPPER, url_filter.LOWER)
+    path = "regexp_extract({0}, '://[^/?#]*([^?#]*)', 1)"
+    link = r"regexp_extract(html, '(?i)(<link\b[^>]*\brel\s*=\s*[\"\x27]?canonical\b[^>]*>)', 1)"
+    named = (
+        rf"regexp_extract({link}, '(?i)\bhref\s*=\s*[\"\x27]?([^\"\x27\s>]+)', 1)",
+        r"regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"\x27]?refresh\b[^>]*\burl\s*=\s*[\"\x27]?([^\"\x27\s>]+)', 1)",
+    )
+    scheme = "regexp_extract(url, '^([^:/?#]*)://', 1)"
+    targets = " UNION ALL ".join(
+        f"""SELECT landing AS a, CASE
+              WHEN regexp_matches(f, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN f
+              WHEN starts_with(f, '//') THEN {scheme} || ':' || f
+              WHEN starts_with(f, '/') THEN {scheme} || '://' || {host.format('url')} || f END AS t
+            FROM (SELECT url, landing, {f} AS f FROM seen) z WHERE f <> ''"""
+        for f in named
+    )
+    return f"""
+WITH RECURSIVE seen AS (
+  SELECT DISTINCT url, coalesce(html, '') AS html, {_landing_sql('url')} AS landing FROM pages WHERE contains(url, '://')),
+links AS (
+  SELECT url AS a, landing AS b FROM seen
+  UNION SELECT a, {_landing_sql('t')} FROM ({targets}) y WHERE t IS NOT NULL),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT a, a FROM links UNION SELECT b, b FROM links),
+reach AS (SELECT a AS node, a AS root FROM edges UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node),
+members AS (SELECT node, min(root) AS component FROM reach GROUP BY node),
+ruled AS (SELECT node, component, {_rule_sql(host.format('node'), path.format('node'), lambda v, h, p: v)} AS verdict FROM members),
+classes AS (
+  SELECT component FROM ruled GROUP BY component
+  HAVING bool_or(coalesce(verdict = 'block', false)) AND NOT bool_or(coalesce(verdict = 'allow', false))),
+judged AS (
+  SELECT page_id, url, coalesce({host.format('url')}, '') AS host, coalesce({path.format('url')}, '') AS path FROM pages)
+SELECT j.page_id, j.host, j.path, {_rule_sql('j.host', 'j.path', lambda v, h, p: h + p)} AS rule,
+       coalesce({_rule_sql('j.host', 'j.path', lambda v, h, p: v)},
+                CASE WHEN c.component IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN members m ON m.node = j.url LEFT JOIN classes c ON c.component = m.component
+"""
+
+
+@query("op5_url_filters", _op5_sql())
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"))
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op4_exact_top_k", OP4_SQL)
+def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", 256)
+    return topk.top_products(vectors, vectors.filter(F.col("id") % 50 == 0), topk.K)
