@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fablens.llm import line_dedup, sharding, token_counts, topk, url_filter
+from fablens.llm import line_dedup, near_dedup, sharding, token_counts, topk, url_filter
 from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,31 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", 256)
     return topk.top_products(vectors, vectors.filter(F.col("id") % 50 == 0), topk.K)
+
+
+OP6_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM texts),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM sizes UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node)
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(r.root) AS component_id, s.doc_id = min(r.root) AS kept
+FROM sizes s JOIN reach r ON r.node = s.doc_id GROUP BY s.doc_id, s.n
+"""
+
+
+@query("op6_minhash_near_dedup", OP6_SQL)
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
