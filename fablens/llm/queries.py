@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fablens.llm import line_dedup, near_dedup, sharding, token_counts, topk, url_filter
+from fablens.llm import bpe, line_dedup, near_dedup, sharding, token_counts, topk, url_filter
 from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,14 @@ FROM sizes s JOIN reach r ON r.node = s.doc_id GROUP BY s.doc_id, s.n
 @query("op6_minhash_near_dedup", OP6_SQL)
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op3_bpe_lexicon")
+def op3_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode_and_decode(table(spark, folder, "documents"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
