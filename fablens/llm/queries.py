@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fablens.llm import bpe, line_dedup, near_dedup, sharding, token_counts, topk, url_filter
+from fablens.llm import bpe, decontamination, line_dedup, near_dedup, sharding, token_counts, topk, url_filter
 from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,8 @@ def op3_bpe_lexicon(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_benchmark_decontamination")
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -25,7 +25,11 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_WORD_CODES = np.where(SPACE, np.uint64(0), _CODES)[LOWER]
+WORD_CODES = np.where(SPACE, np.uint64(0), _CODES)[LOWER]
+# White space, control characters and ASCII punctuation: what separates terms.
+MARK = np.zeros(256, bool)
+MARK[:128] = [not chr(b).isalnum() for b in range(128)]
+TERM_CODES = np.where(MARK, np.uint64(0), _CODES)[LOWER]
 # Bits: space or line feed, visible ASCII, mark, ASCII letter.
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x0A]] = 1
@@ -79,9 +83,11 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         at = end
 
 
-def words(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs without white space (space, tab to carriage return): starts, ends, and each row's first word."""
-    full = ~SPACE[buffer]
+def words(
+    buffer: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs without separators (white space: space, tab to carriage return): starts, ends, each row's first."""
+    full = ~separators[buffer]
     edge = np.zeros(len(buffer) + 1, bool)
     edge[offsets] = True
     begins = full.copy()
@@ -96,9 +102,9 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(values * _table("up", len(values)), starts) * _table("down", int(starts[-1]) + 1)[starts])
 
 
-def word_hashes(buffer: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64-bit hashes of lower-cased (A-Z) words."""
-    return _sums(_WORD_CODES[buffer], starts) if len(starts) else np.zeros(0, np.uint64)
+def word_hashes(buffer: np.ndarray, starts: np.ndarray, codes: np.ndarray = WORD_CODES) -> np.ndarray:
+    """64-bit hashes of lower-cased (A-Z) words; ``codes`` are zero at separators."""
+    return _sums(codes[buffer], starts) if len(starts) else np.zeros(0, np.uint64)
 
 
 def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -123,7 +129,7 @@ def shingle_hashes(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.n
     out = size.astype(np.uint64)
     padded = np.concatenate([hashes, np.zeros(n, np.uint64)])
     for k in range(n):
-        salt = np.uint64(2 * k + 3) * np.uint64(0x9E3779B97F4A7C15)
+        salt = np.uint64((2 * k + 3) * 0x9E3779B97F4A7C15 & (2**64 - 1))
         out = mix(out * np.uint64(0xA24BAED4963EE407) + np.where(size > k, padded[at + k] + salt, np.uint64(0)))
     return out, first
 
