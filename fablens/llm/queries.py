@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fablens.llm import bpe, decontamination, line_dedup, near_dedup, sharding, token_counts, topk, toxicity, url_filter
+from fablens.llm import bpe, decontamination, line_dedup, near_dedup, quality, sharding, token_counts, topk, toxicity, url_filter
 from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,8 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @query("op2_toxicity_chain")
 def op2_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op9_quality_bayes")
+def op9_quality_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
