@@ -13,6 +13,11 @@ def _lowest(edges: DataFrame) -> DataFrame:
     return materialize(edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("least")), "least")
 
 
+def _checksum(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) for every node of the edges.
 
@@ -24,22 +29,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
     a, b = (F.col(c) for c in edges.columns)
     both = edges.filter(a.isNotNull() & b.isNotNull() & (a != b))
     held = materialize(both.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
-    while True:
+    before = _checksum(held)
+    while before[0]:
         low = _lowest(held)
-        nested = held.join(low, held["lo"] == low["node"], "left_semi").limit(1).count()
-        if not nested and held.count() == low.count():
-            break
-        hung = held.join(low, held["lo"] == low["node"], "left").select(
-            "hi", F.coalesce("least", "lo").alias("lo")
-        )
+        hung = held.join(low, held["lo"] == low["node"], "left").select("hi", F.coalesce("least", "lo").alias("lo"))
         hung = materialize(hung.distinct(), "edges")
         below = _lowest(hung)
-        met = hung.join(below, hung["hi"] == below["node"])
-        pairs = F.array(F.struct(F.col("hi"), F.col("least").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("least").alias("lo")))
-        new = met.select(F.inline(pairs)).filter(F.col("hi") != F.col("lo"))
+        met = hung.join(below, hung["hi"] == below["node"]).select("hi", "lo", "least")
+        # An edge to the least neighbour stays; other neighbours are hung below it.
+        new = met.select(F.when(F.col("lo") == F.col("least"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("least").alias("lo"))
         after = materialize(new.distinct(), "edges")
+        now = _checksum(after)
         discard(held, low, hung, below)
         held = after
-    discard(low)
+        if now == before:
+            break
+        before = now
     roots = held.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return held.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
