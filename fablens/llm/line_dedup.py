@@ -178,17 +178,18 @@ def dedup_lines(
     text_col: str = "text",
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
     """All rows and columns, with repeated lines taken out of the text, and ``n_lines`` and ``n_dropped``.
 
     A line repeats if at least ``min_docs`` documents (distinct ids) hold its key of at least
     ``min_chars`` code points; it stays in the largest id only. ``n_lines`` counts the lines before dropping.
     A null text has one empty line and stays null. Rows with a null id are not counted and lose
-    nothing. Rows that repeat an id count as one document and lose the same lines. Columns
-    named ``n_lines`` or ``n_dropped`` are replaced; an empty table gives no rows.
+    nothing. Rows that repeat an id count as one document and lose the same lines. ``counts`` names the
+    two added columns; a column of the same name is replaced. An empty table gives no rows.
     """
     drops = confirmed_drops(docs, id_col, text_col, min_chars, min_docs)
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    kept = [c for c in docs.columns if c not in counts]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     at = kept.index(text_col)
     # Renamed while joined, so that no column of the table can clash.
@@ -223,7 +224,7 @@ def dedup_lines(
             columns = [column if i == at else batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(n_lines.astype(np.int64)), pa.array(dropped)],
-                names=[*kept, "n_lines", "n_dropped"],
+                names=[*kept, *counts],
             )
 
-    return joined.mapInArrow(rewrite, f"{fields}, n_lines long, n_dropped long")
+    return joined.mapInArrow(rewrite, f"{fields}, `{counts[0]}` long, `{counts[1]}` long")

@@ -321,3 +321,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         component.alias("component_id"),
         F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"),
     )
+
+
+def remove_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of the document that each class keeps.
+
+    Of rows that repeat an id one stays; rows with a null id all stay.
+    """
+    judged = materialize(near_duplicates(docs, id_col, text_col).select(F.col(id_col).alias("judged"), "kept"), "judged")
+    gone = materialize(judged.filter(~F.col("kept")).select("judged").distinct(), "dropped")
+    again = judged.filter(F.col("judged").isNotNull()).groupBy("judged").count().filter("count > 1").select("judged")
+    again = materialize(again, "repeated-ids")
+    rest = docs.join(gone, docs[id_col] == gone["judged"], "left_anti")
+    if not again.limit(1).count():
+        return rest
+    once = rest.join(again, rest[id_col] == again["judged"], "left_anti")
+    many = rest.join(again, rest[id_col] == again["judged"], "left_semi").dropDuplicates([id_col])
+    return once.unionByName(many)
