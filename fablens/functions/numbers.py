@@ -30,6 +30,11 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def is_unscored(p: Column) -> Column:
+    """A risk that is NULL or NaN. Such a lot counts as flagged everywhere: it is held, not released."""
+    return p.isNull() | F.isnan(p)
+
+
 def sensor_alias(sensor_id: Column) -> Column:
     return F.format_string("sensor_%03d", sensor_id)
 

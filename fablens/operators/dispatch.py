@@ -11,13 +11,13 @@ from fablens.functions import numbers as N
 
 
 def _by_tier(p: Column, t1, t2, values: tuple[str, str, str]) -> Column:
-    return F.when(p >= t1, values[0]).when(p >= t2, values[1]).otherwise(values[2])
+    return F.when(N.is_unscored(p) | (p >= t1), values[0]).when(p >= t2, values[1]).otherwise(values[2])
 
 
 def route_lots(scored: DataFrame, t1: float | Column, t2: float | Column = K.ELEVATED_RISK) -> DataFrame:
     """Tier, action and urgency per lot. ``t1`` is tested first; with t1 <= t2 tier 2 is empty.
 
-    ``t1`` may be a scalar subquery, such as the threshold of a stored champion.
+    ``t1`` may be a scalar subquery, such as the threshold of a stored champion. A lot without a score (NULL or NaN) is held.
     """
     p = F.col("p")
     return scored.withColumns(

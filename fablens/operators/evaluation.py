@@ -4,7 +4,8 @@ Scored rows have columns p and y (0 or 1). Confusion counts and the threshold
 curve fold them straight into a handful of groups. ROC-AUC and average
 precision need every distinct score, so they start from ``score_counts``:
 positives and negatives per model and score. Every function takes either form,
-and all models at once.
+and all models at once. Rows without a score (NULL or NaN) count as flagged at every
+threshold, as routing holds them, so that counts add up to the input rows.
 """
 
 from __future__ import annotations
@@ -28,12 +29,15 @@ def _tallies(frame: DataFrame) -> tuple[Column, Column]:
 
 def score_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     pos, neg = _tallies(scored)
-    return scored.groupBy(*(by or []), "p").agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
+    # Unscored rows stand together above every score.
+    p = F.when(N.is_unscored(F.col("p")), float("inf")).otherwise(F.col("p")).alias("p")
+    return scored.groupBy(*(by or []), p).agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
 
 
 def confusion_at(scores: DataFrame, flagged: Column, by: list[str] | None = None) -> DataFrame:
     """tn, fp, fn, tp where ``flagged`` says which scores are predicted defects. One aggregate."""
     pos, neg = _tallies(scores)
+    flagged = N.is_unscored(F.col("p")) | flagged
 
     def total(column: Column, condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, column)), F.lit(0))
@@ -75,7 +79,8 @@ def threshold_curve(
     """
     by = by or []
     pos, neg = _tallies(scores)
-    slots = scores.groupBy(*by, N.grid_index(F.col("p")).alias("slot")).agg(
+    slot = F.when(N.is_unscored(F.col("p")) | (F.col("p") > 1), K.GRID_STEPS - 1).otherwise(N.grid_index(F.col("p")))
+    slots = scores.groupBy(*by, slot.alias("slot")).agg(
         F.sum(pos).alias("pos"), F.sum(neg).alias("neg")
     )
     # Scores below the grid (slot -1) count in the totals but make no threshold.

@@ -125,8 +125,11 @@ def score_dummy(train: DataFrame, lots: DataFrame) -> DataFrame:
     return lots.withColumn("p", majority)
 
 
-def rf_importance(train: DataFrame, sensors: list[int], trees: int = 100, depth: int = 10) -> DataFrame:
-    """Impurity importance per sensor; ``sensors`` names the array positions."""
+def rf_importance(train: DataFrame, sensors: list[int], trees: int = 100, depth: int = 30) -> DataFrame:
+    """Impurity importance per sensor; ``sensors`` names the array positions.
+
+    ``depth`` bounds the trees; 30 is the most that MLlib grows.
+    """
     forest = train_random_forest(train, trees, depth).stages[-1]
     rows = [(int(s), float(v)) for s, v in zip(sensors, forest.featureImportances.toArray())]
     return literal_table(train.sparkSession, ["sensor_id", "rf_importance"], rows)

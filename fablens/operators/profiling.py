@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from fablens import constants as K
 from fablens.functions import numbers as N
-from fablens.sources.shared import literal_table
+from fablens.sources.shared import literal_table, materialize
 
 
 def sensor_stats(
@@ -59,10 +59,11 @@ def sensor_stats(
     )
 
 
-def profile_columns(stats: DataFrame, dtype: str = "double") -> DataFrame:
-    return stats.select(
+def profile_columns(stats: DataFrame, dtypes: DataFrame) -> DataFrame:
+    """Report rows; ``dtypes`` has ``sensor_code`` and ``dtype`` (see ``column_types``)."""
+    return stats.join(dtypes, "sensor_code", "left").select(
         F.col("sensor_code").alias("column"),
-        F.lit(dtype).alias("dtype"),
+        "dtype",
         "missing_count",
         F.round("missing_rate", 2).alias("missing_pct"),
         "unique_count",
@@ -74,6 +75,12 @@ def profile_columns(stats: DataFrame, dtype: str = "double") -> DataFrame:
     )
 
 
+def column_types(df: DataFrame, sensors: list[str]) -> DataFrame:
+    """Data type of each sensor column, from the table's schema; an array column counts once per sensor."""
+    rows = [(c, df.schema[c].dataType.simpleString()) for c in sensors]
+    return literal_table(df.sparkSession, ["sensor_code", "dtype"], rows)
+
+
 def profile_missing_by_sensor(stats: DataFrame) -> DataFrame:
     return stats.select(
         F.col("sensor_code").alias("column"), "missing_count", F.round("missing_rate", 2).alias("missing_pct")
@@ -119,32 +126,40 @@ def dtype_histogram(df: DataFrame) -> DataFrame:
     return dtypes.select("dtype", F.col("columns").cast("bigint").alias("columns"))
 
 
-# A row of at most this many plain columns is compared as it is, a wider one by its digest.
-DIRECT_COLUMNS = 32
-
-
-def _is_narrow(df: DataFrame, columns: list[str]) -> bool:
-    plain = [not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType)) for c in columns]
-    return all(plain) and len(columns) <= DIRECT_COLUMNS
-
-
-def row_digest(df: DataFrame, columns: list[str]) -> Column:
-    """256-bit digest of a row; NULLs keep their place."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """The value in a form that groups and hashes alike whenever it is equal: one zero, maps as sorted entries."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return value + F.lit(0.0).cast(kind)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _comparable(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        return F.array_sort(F.transform(F.map_entries(value), lambda v: _comparable(v, entry)))
+    if isinstance(kind, T.StructType):
+        fields = [_comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
 
 
 def profile_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Number of rows that repeat an earlier row (NULLs are equal).
+    """Number of rows that repeat an earlier row (NULLs are equal, as are NaNs, and 0.0 and -0.0).
 
-    Copies fold before the shuffle. Wide rows travel as a 32-byte digest, so
-    the shuffle does not carry the table.
+    One rule at any width: hashes that occur more than once are found first, an 8-byte column folded before
+    its shuffle; only rows with such a hash are compared, by their real columns.
     """
     columns = columns or df.columns
-    keys = columns if _is_narrow(df, columns) else [row_digest(df, columns).alias("digest")]
-    copies = df.groupBy(*keys).agg(F.count("*").alias("copies"))
+    rows = df.select(*[_comparable(F.col(_quoted(c)), df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(columns)])
+    names = rows.columns
+    hashed = rows.withColumn("hash", F.xxhash64(*names))
+    repeated = materialize(hashed.groupBy("hash").count().where("count > 1").select("hash"), "repeated-hashes")
+    copies = hashed.join(repeated, "hash", "left_semi").groupBy(*names).agg(F.count("*").alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def profile_labels(units: DataFrame) -> DataFrame:
     return units.groupBy("raw_label").agg(F.count("*").alias("units"))
 

@@ -29,7 +29,11 @@ def running_totals(df: DataFrame, by: list[str], order: str, sums: list[str], de
 
     inside = Window.partitionBy(*by, "_slice").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     # Should the offsets be too many to broadcast, the join's shuffle is also the window's.
-    joined = sliced.join(offsets, [*by, "_slice"])
+    renamed = offsets.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_slice").alias("_of"), *[f"_{c}" for c in sums])
+    same = F.col("_slice") == F.col("_of")
+    for c in by:  # a NULL group is one of its own
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    joined = sliced.join(renamed, same).drop("_of", *[f"_by_{c}" for c in by])
     return joined.withColumns({f"{c}_upto": F.sum(c).over(inside) + F.col(f"_{c}") for c in sums}).drop(
         "_slice", *[f"_{c}" for c in sums]
     )

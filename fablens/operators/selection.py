@@ -6,52 +6,79 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fablens.operators.ranked import running_totals
 from fablens.sources.shared import materialize
 
 # Sketch accuracy for bracketing a median, and how far the bracket reaches
-# around it (in units of the sketch's own error).
+# around it (in units of the sketch's own error); a missed bracket is widened by WIDEN.
 SKETCH = 10_000
 REACH = 5
+WIDEN = 20
+# Readings of one group meet its bracket in this many tasks.
+SPREAD = 64
 
 
 def fit_medians(train: DataFrame, by: str = "sensor_id", value: str = "value") -> DataFrame:
-    """Exact median per sensor, NULL for a sensor without readings.
+    """Exact median per group, NULL for a group without readings. A NULL group is one of its own.
 
     A quantile sketch brackets the median; then readings below the bracket are
-    only counted and those inside it are counted per distinct value, so a group
-    shrinks to about 0.1 % of its readings before it is ordered. The rank is checked against the
-    counts, and a bracket that missed raises instead of giving a near value.
+    only counted and those inside it are counted per distinct value. Readings meet the brackets by
+    group and slot, so that a large group is dealt to many tasks, and the ranks come from running totals
+    by slices. A rank that the bracket misses is looked for again, in a wider one.
     """
-    reach = REACH / SKETCH
-    sketch = train.groupBy(by).agg(
-        F.percentile_approx(value, [0.5 - reach, 0.5 + reach], SKETCH).alias("_b"), F.count(value).alias("_rows")
+    readings = train.select(F.col(by).alias("_g"), F.col(value).alias("_x"))
+    groups = readings.groupBy("_g").agg(F.count("_x").alias("_rows"))
+    found = materialize(groups, "median-groups")
+    done, reach, left = None, REACH / SKETCH, readings.where(F.col("_x").isNotNull())
+    while True:
+        part = materialize(_bracketed_medians(left, min(reach, 0.5)), "medians")
+        done = part.where("_m is not null") if done is None else done.unionByName(part.where("_m is not null"))
+        missed = part.where("_m is null").select(F.col("_g").alias("_again"))
+        if reach >= 0.5 or not missed.limit(1).count():
+            break
+        left = left.join(missed, F.col("_g").eqNullSafe(F.col("_again")), "left_semi")
+        reach *= WIDEN
+    medians = done.select(F.col("_g").alias("_of"), F.col("_m").alias("median"))
+    joined = found.join(medians, F.col("_g").eqNullSafe(F.col("_of")), "left")
+    return materialize(joined.select(F.col("_g").alias(by), "median"), "medians")
+
+
+def _bracketed_medians(readings: DataFrame, reach: float) -> DataFrame:
+    """``_g`` and median ``_m`` of each group; NULL where the sketch's bracket does not hold it."""
+    sketch = readings.groupBy("_g").agg(
+        F.percentile_approx("_x", [max(0.0, 0.5 - reach), min(1.0, 0.5 + reach)], SKETCH).alias("_b"), F.count("_x").alias("_rows")
     )
-    bounds = materialize(
-        sketch.select(by, F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"), "_rows"), "median-bounds"
+    bounds = materialize(sketch.select("_g", F.col("_b")[0].alias("_low"), F.col("_b")[1].alias("_high"), "_rows"), "median-bounds")
+    spread = bounds.select(
+        F.col("_g").alias("_of"), "_low", "_high", "_rows", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_slot")
+    )
+    slot = F.pmod(F.xxhash64("_x"), F.lit(SPREAD)).cast("int")
+    met = readings.withColumn("_at", slot).join(
+        spread, F.col("_g").eqNullSafe(F.col("_of")) & (F.col("_at") == F.col("_slot"))
+    )
+    inside = F.when(F.col("_x") >= F.col("_low"), F.col("_x"))
+    counted = met.where(F.col("_x") <= F.col("_high")).groupBy("_g", inside.alias("_v")).agg(F.count("*").alias("_n"))
+    counted = materialize(counted, "median-counts")
+    below = counted.where("_v is null").select(F.col("_g").alias("_gb"), F.col("_n").alias("_below"))
+    # Groups by hash from here on: a NULL group then joins like any other.
+    ranked = running_totals(
+        counted.where("_v is not null").withColumn("_key", F.xxhash64("_g")), ["_key", "_g"], "_v", ["_n"]
     )
-    inside = F.when(F.col(value) >= F.col("_low"), F.col(value))
-    counted = (
-        train.where(F.col(value).isNotNull())
-        .join(bounds, by)
-        .where(F.col(value) <= F.col("_high"))
-        .groupBy(by, "_rows", inside.alias("_v"))
-        .agg(F.count("*").alias("_n"))
+    ranked = ranked.join(below, F.col("_g").eqNullSafe(F.col("_gb")), "left").withColumn(
+        "_upto", F.col("_n_upto") + F.coalesce("_below", F.lit(0))
+    )
+    sized = ranked.join(
+        bounds.select(F.col("_g").alias("_of"), "_rows"), F.col("_g").eqNullSafe(F.col("_of"))
     )
-    order = Window.partitionBy(by).orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_upto", F.sum("_n").over(order))
 
     def at(rank: Column) -> Column:
         return F.min(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank), F.col("_v")))
 
-    middle = ranked.groupBy(by).agg(
+    middle = sized.groupBy("_g").agg(
         at(F.expr("(_rows + 1) div 2")).alias("_lower"), at(F.expr("_rows div 2 + 1")).alias("_upper")
     )
-    found = F.coalesce(
-        (F.col("_lower") + F.col("_upper")) / 2,
-        F.raise_error(F.lit("median outside its sketch bracket")).cast("double"),
-    )
-    exact = middle.select(by, found.alias("median"))
-    return materialize(bounds.select(by).join(exact, by, "left"), "medians")
+    exact = middle.select(F.col("_g").alias("_gm"), ((F.col("_lower") + F.col("_upper")) / 2).alias("_m"))
+    return bounds.select("_g").join(exact, F.col("_g").eqNullSafe(F.col("_gm")), "left").select("_g", "_m")
 
 
 def as_vector(stats: DataFrame, column: str, width: int, by: str = "sensor_id") -> Column:
@@ -104,17 +131,19 @@ def mutual_information(readings: DataFrame, y: str = "y", bins: int = 10) -> Dat
 
 
 def separation_score(readings: DataFrame, y: str = "y") -> DataFrame:
-    """Distance between the class means in standard deviations: a model-free importance."""
+    """Distance between the class means in standard deviations: a model-free importance, ``separation``."""
     fail = F.when(F.col(y) == 1, F.col("value"))
     good = F.when(F.col(y) == 0, F.col("value"))
     gap = F.abs(F.avg(fail) - F.avg(good))
     return readings.groupBy("sensor_id").agg(
-        F.coalesce(F.try_divide(gap, F.stddev_samp("value")), F.lit(0.0)).alias("rf_importance")
+        F.coalesce(F.try_divide(gap, F.stddev_samp("value")), F.lit(0.0)).alias("separation")
     )
 
 
-def composite_rank(ranking: DataFrame, w_rf: float = 0.7, w_mi: float = 0.3) -> DataFrame:
-    """Blend of both importances, each divided by its maximum (by 1 where that is 0).
+def composite_rank(
+    ranking: DataFrame, w_rf: float = 0.7, w_mi: float = 0.3, importance: str = "rf_importance"
+) -> DataFrame:
+    """Blend of an importance column and mutual information, each divided by its maximum (by 1 where that is 0).
 
     ``ranking`` has one row per sensor, so the maxima are taken over a small window.
     """
@@ -123,7 +152,7 @@ def composite_rank(ranking: DataFrame, w_rf: float = 0.7, w_mi: float = 0.3) ->
         top = F.max(column).over(Window.partitionBy())
         return F.col(column) / F.when(top > 0, top).otherwise(1.0)
 
-    blended = scaled("rf_importance") * w_rf + scaled("mutual_info") * w_mi
+    blended = scaled(importance) * w_rf + scaled("mutual_info") * w_mi
     return ranking.withColumn("composite_score", blended)
 
 

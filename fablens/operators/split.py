@@ -1,11 +1,11 @@
 """Chronological split without sorting the table.
 
 The split is a cut point (timestamp, id): rows up to it are training rows. The
-cut is found by counting: rows per day, then per second of the boundary day,
-then per microsecond of the boundary second, then per id range within one
-instant. Each step is a filtered aggregate with a bounded number of groups, so
+cut is found by counting: rows per day, then per minute of the boundary day, per millisecond of
+the boundary minute, per microsecond of that, then per id range within one
+instant. Each step is a filtered aggregate with a bounded number of groups (at most 65,536 after the days), so
 a day, second or instant that holds a third of all rows is counted, never
-collected or sorted; only a bucket known to be small is ordered. The split itself is a filter that reaches the scan.
+collected or sorted. The split itself is a filter that reaches the scan. Within an instant rows without an id come last.
 """
 
 from __future__ import annotations
@@ -20,9 +20,6 @@ from pyspark.sql.window import Window
 # Ids within one instant are counted in at most this many ranges per step.
 ID_RANGES = 65_536
 
-# A bucket of at most this many rows is ordered outright.
-SMALL = 100_000
-
 
 @dataclass(frozen=True)
 class Cut:
@@ -56,7 +53,10 @@ def _boundary(df: DataFrame, bucket: Column, rank: Column) -> Row | None:
 
 def _nth_id(rows: DataFrame, key: str, rank: int) -> int:
     """The ``rank``-th smallest id, by repeatedly narrowing its range."""
-    low, high = rows.agg(F.min(key), F.max(key)).first()
+    rows = rows.where(F.col(key).isNotNull())
+    low, high, known = rows.agg(F.min(key), F.max(key), F.count("*")).first()
+    if rank > known:
+        raise ValueError("the training share ends among rows of one instant that have no id")
     while low < high:
         width = (high - low) // ID_RANGES + 1
         found = _boundary(rows, F.expr(f"({key} - {low}L) div {width}L"), F.lit(rank))
@@ -75,14 +75,11 @@ def chronological_cut(df: DataFrame, ts: str = "event_ts", key: str = "productio
     if found["b"] is None:
         raise ValueError("the training share reaches into rows without a timestamp")
     total, train = found["total"], found["rank"]
-    for unit in ("day", "second", "microsecond"):
+    for unit in ("day", "minute", "millisecond", "microsecond"):
         if unit != "day":
             found = _boundary(rows, F.date_trunc(unit, "ts").cast("timestamp_ntz"), F.lit(found["inside"]))
         start = _at(found["b"])
         rows = rows.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr(f"interval 1 {unit}")))
-        if found["n"] <= SMALL:
-            row = rows.orderBy("ts", "id").offset(found["inside"] - 1).first()
-            return Cut(row["ts"], row["id"], total, train)
     return Cut(found["b"], _nth_id(rows, "id", found["inside"]), total, train)
 
 
@@ -90,7 +87,7 @@ def in_training(cut: Cut, ts: str = "event_ts", key: str = "production_id") -> C
     if cut.ts is None:
         return F.lit(False)
     at = _at(cut.ts)
-    return (F.col(ts) < at) | ((F.col(ts) == at) & (F.col(key) <= cut.id))
+    return (F.col(ts) < at) | ((F.col(ts) == at) & F.col(key).isNotNull() & (F.col(key) <= cut.id))
 
 
 def chronological_split(

@@ -100,6 +100,11 @@ def candidate_sensors(sensors: DataFrame) -> DataFrame:
     return sensors.where(~F.col("is_quarantined")).select("sensor_id", "sensor_code")
 
 
+def candidate_ids(sensors: DataFrame) -> list[int]:
+    """The candidate sensors' ids in order; there are as many as the table has sensor columns at most."""
+    return [r["sensor_id"] for r in candidate_sensors(sensors).orderBy("sensor_id").collect()]
+
+
 def set_difference(all_sensors: DataFrame, *registers: DataFrame) -> DataFrame:
     """The same set from separate registers: all minus their union."""
     taken = reduce(DataFrame.union, [r.select("sensor_code") for r in registers]).distinct()
@@ -120,22 +125,43 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     return keys.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
 
 
-def _check(name: str, violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+def _per_key(df: DataFrame, key: str, columns: tuple[str, ...], side: str) -> DataFrame:
+    """One row per key: its rows on this side, and the NULLs in each column."""
+    nulls = [N.count_where(F.col(c).isNull()).alias(f"{side}_null_{c}") for c in columns]
+    return df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias(f"{side}_rows"), *nulls)
 
 
 def integrity_checks(production: DataFrame, quality: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Violations per declared constraint: keys unique, parents present, nothing NULL."""
-    checks = [
-        _check("production_pk", repeated_keys(production, "production_id")),
-        _check("quality_pk", repeated_keys(quality, "production_id")),
-        _check("sensor_code_unique", repeated_keys(sensors, "sensor_code")),
-        _check("quality_production_fk", orphans(quality, "production_id", production, "production_id")),
-        not_null(production, "production", "production_id", "run_timestamp"),
-        not_null(quality, "quality", "raw_label", "is_defect"),
-        not_null(sensors, "sensor", "sensor_code", "missing_rate_pct"),
-    ]
-    return reduce(DataFrame.union, checks)
+    """Violations per declared constraint: keys unique, parents present, nothing NULL. Each table is read once.
+
+    A table is folded to one row per key, which serves its key, foreign-key and NULL checks alike.
+    """
+    parents = _per_key(production, "production_id", ("production_id", "run_timestamp"), "production")
+    children = _per_key(quality, "production_id", ("raw_label", "is_defect"), "quality")
+    codes = _per_key(sensors, "sensor_code", ("sensor_code", "missing_rate_pct"), "sensor")
+    children = children.withColumnRenamed("key", "child_key")
+    facts = parents.join(children, F.col("key") == F.col("child_key"), "full")
+    orphaned = F.col("quality_rows").isNotNull() & F.col("production_rows").isNull()
+    checks = {
+        "production_pk": N.count_where(F.col("production_rows") > 1),
+        "quality_pk": N.count_where(F.col("quality_rows") > 1),
+        "quality_production_fk": N.count_where(orphaned),
+        "production_not_null_production_id": F.sum("production_null_production_id"),
+        "production_not_null_run_timestamp": F.sum("production_null_run_timestamp"),
+        "quality_not_null_raw_label": F.sum("quality_null_raw_label"),
+        "quality_not_null_is_defect": F.sum("quality_null_is_defect"),
+    }
+    of_sensors = {
+        "sensor_code_unique": N.count_where(F.col("sensor_rows") > 1),
+        "sensor_not_null_sensor_code": F.sum("sensor_null_sensor_code"),
+        "sensor_not_null_missing_rate_pct": F.sum("sensor_null_missing_rate_pct"),
+    }
+    return _as_rows(facts, checks).union(_as_rows(codes, of_sensors))
+
+
+def _as_rows(df: DataFrame, checks: dict) -> DataFrame:
+    counts = df.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(name) for name, c in checks.items()])
+    return counts.unpivot([], list(checks), "check", "violations")
 
 
 def not_null(df: DataFrame, name: str, *columns: str) -> DataFrame:

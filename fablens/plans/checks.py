@@ -1,5 +1,7 @@
 """SQL fragments that the checks share: the model's tables over the driver tables."""
 
+from fablens import constants as K
+
 UNITS = """units AS (
   SELECT event_id AS production_id, ts AS event_ts, user_id AS tool,
          CASE WHEN event_type = 'error' THEN 1 ELSE -1 END AS raw_label
@@ -37,8 +39,10 @@ VALUE_MASKED = """CASE WHEN i % 16 = 3 AND vec_id % 10 < 6 THEN NULL
               ELSE CAST(embedding[i + 1] AS DOUBLE) END"""
 
 
-def readings(masked: bool = True) -> str:
+def readings(masked: bool = True, gappy: bool = False) -> str:
     value = VALUE_MASKED if masked else "CAST(embedding[i + 1] AS DOUBLE)"
+    if gappy:
+        value = f"""CASE WHEN vec_id % 20 = 7 AND i % 5 < 2 OR vec_id % 20 = 8 AND i % 5 = 1 THEN NULL ELSE {value} END"""
     return f"""readings AS (
   SELECT vec_id AS production_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y,
          CAST(i + 1 AS INT) AS sensor_id, {value} AS value
@@ -88,11 +92,11 @@ MUTUAL = f"""{IMPUTED}, bounds AS (
 RANKING = f"""{MUTUAL}, separation AS (
   SELECT sensor_id, CASE WHEN stddev_samp(value) > 0 THEN
          abs(avg(value) FILTER (WHERE y = 1) - avg(value) FILTER (WHERE y = 0)) / stddev_samp(value)
-         ELSE 0 END AS rf_importance FROM imputed GROUP BY sensor_id), sensor_state AS (
+         ELSE 0 END AS separation FROM imputed GROUP BY sensor_id), sensor_state AS (
   SELECT sensor_id FROM readings GROUP BY sensor_id
   HAVING count(value) * 2 >= count(*) AND count(DISTINCT value) > 1), ranking AS (
-  SELECT sensor_id, rf_importance, mutual_info,
-         rf_importance / max(rf_importance) OVER () * 0.7 + mutual_info / max(mutual_info) OVER () * 0.3
+  SELECT sensor_id, separation, mutual_info,
+         separation / max(separation) OVER () * 0.7 + mutual_info / max(mutual_info) OVER () * 0.3
            AS composite_score
   FROM separation JOIN mutual USING (sensor_id) JOIN sensor_state USING (sensor_id))"""
 
@@ -127,9 +131,8 @@ SCORED_UNITS = """scored AS (
 ROUTED = f"""{SCORED_UNITS}, routed AS (
   SELECT *, CASE WHEN p >= 0.14 THEN 'TIER_1_CRITICAL' WHEN p >= 0.08 THEN 'TIER_2_ELEVATED'
                  ELSE 'TIER_3_NOMINAL' END AS risk_tier,
-         CASE WHEN p >= 0.14 THEN 'HOLD: Route to Inline Metrology & Defect Review Station'
-              WHEN p >= 0.08 THEN 'MONITOR: Tool chamber drift detected; schedule preventative clean'
-              ELSE 'RELEASE: Nominal lot quality; fast-track to CMP / metallization' END AS operational_action,
+         CASE WHEN p >= 0.14 THEN '{K.TIER_1_ACTION}' WHEN p >= 0.08 THEN '{K.TIER_2_ACTION}'
+              ELSE '{K.TIER_3_ACTION}' END AS operational_action,
          CASE WHEN p >= 0.14 THEN 'URGENT' WHEN p >= 0.08 THEN 'MEDIUM' ELSE 'LOW' END AS alert_urgency
   FROM scored)"""
 
@@ -168,7 +171,7 @@ def features(source: str, partition: str = "") -> str:
 
 # Fixed weights for attribution checks: sensor j weighs ((j mod 7) - 3) / 10.
 SHAP = f"""{readings(masked=False)}, means AS (
-  SELECT sensor_id, round(avg(value), 9) AS mean FROM readings GROUP BY sensor_id), shap AS (
+  SELECT sensor_id, avg(value) AS mean FROM readings GROUP BY sensor_id), shap AS (
   SELECT production_id, sensor_id, (value - mean) * (CAST(sensor_id % 7 - 3 AS DOUBLE) / 10) AS shap
   FROM readings JOIN means USING (sensor_id))"""
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from fablens import constants as K
 from fablens.plans import checks as Q
-from fablens.plans.profiles import GATE_CANDIDATES, GATE_CHECK
+from fablens.plans.profiles import GATE_CHECK, gate_candidates
 from fablens.plans.registry import query
-from fablens.plans.risk import fixed_weights
+from fablens.plans.risk import GAPPY_ALERTS, fixed_weights, gappy_rules, width
 from fablens.sources import bindings as B
 from fablens.sources.shared import new_path
 from fablens.streaming import live
@@ -28,23 +29,22 @@ def event_stream(session, folder):
     return live.with_event_time(B.units(table_stream(session, folder, "events")))
 
 
-def vector_stream(session, folder, masked=False):
-    return B.vectors(table_stream(session, folder, "embeddings"), masked)
+def vector_stream(session, folder, masked=False, gappy=False):
+    return B.vectors(table_stream(session, folder, "embeddings"), masked, gappy)
 
 
 @query(
     "stream_route_lots",
     f"""SELECT production_id, printf('LOT_%04d', production_id) AS lot_id, round(p * 100, 2) AS failure_risk_pct,
         CASE WHEN p >= 0.14 THEN 'TIER_1_CRITICAL' WHEN p >= 0.08 THEN 'TIER_2_ELEVATED' ELSE 'TIER_3_NOMINAL' END AS risk_tier,
-        CASE WHEN p >= 0.14 THEN 'HOLD: Route to Inline Metrology & Defect Review Station'
-             WHEN p >= 0.08 THEN 'MONITOR: Tool chamber drift detected; schedule preventative clean'
-             ELSE 'RELEASE: Nominal lot quality; fast-track to CMP / metallization' END AS operational_action,
+        CASE WHEN p >= 0.14 THEN '{K.TIER_1_ACTION}' WHEN p >= 0.08 THEN '{K.TIER_2_ACTION}'
+             ELSE '{K.TIER_3_ACTION}' END AS operational_action,
         CASE WHEN p >= 0.14 THEN 'URGENT' WHEN p >= 0.08 THEN 'MEDIUM' ELSE 'LOW' END AS alert_urgency,
         CASE WHEN y = 1 THEN 'DEFECT' ELSE 'CONFORMING' END AS actual_quality FROM {Q.LINEAR_P} s""",
 )
 def stream_route_lots(spark, folder):
     session = live.streaming_session(spark)
-    alerts = live.stream_route_lots(vector_stream(session, folder), fixed_weights(), -2.2, 0.14)
+    alerts = live.stream_route_lots(vector_stream(session, folder), fixed_weights(width(session, folder)), -2.2, 0.14)
     return _replay(spark, alerts, "stream-alerts")
 
 
@@ -87,5 +87,13 @@ def stream_dedup_units(spark, folder):
 @query("stream_missing_gate", GATE_CHECK)
 def stream_missing_gate(spark, folder):
     session = live.streaming_session(spark)
-    gate = live.stream_missing_gate(vector_stream(session, folder, masked=True), GATE_CANDIDATES)
-    return _replay(spark, gate, "stream-gate")
+    stream = vector_stream(session, folder, masked=True, gappy=True)
+    return _replay(spark, live.stream_missing_gate(stream, gate_candidates(session, folder)), "stream-gate")
+
+
+@query("stream_route_gappy_units", GAPPY_ALERTS)
+def stream_route_gappy_units(spark, folder):
+    """Units with missing readings on arrival: gated, imputed, scored and routed; what has no score is held."""
+    session = live.streaming_session(spark)
+    stream = vector_stream(session, folder, masked=True, gappy=True)
+    return _replay(spark, live.stream_route_lots(stream, *gappy_rules(session, folder)), "stream-gappy-alerts")

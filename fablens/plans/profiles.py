@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fablens.operators import profiling
+from fablens.operators import profiling, star
 from fablens.plans import checks as Q
 from fablens.plans.registry import query
+from fablens.plans.risk import GAPPY
 from fablens.plans.warehouse import masked, masked_stats, units
 from fablens.sources import bindings as B
 from fablens.sources import telemetry
@@ -38,12 +39,35 @@ def profile_duplicates_by_key(spark, folder):
     "SELECT 2 * count(*) - count(DISTINCT embedding) AS duplicate_rows FROM embeddings",
 )
 def profile_duplicates_wide(spark, folder):
-    """64 sensor columns, every row delivered twice: compared by row digest."""
+    """One column per sensor, every row delivered twice."""
     once = B.table(spark, folder, "embeddings")
-    wide = once.union(once).select(*[F.get("embedding", F.lit(i)).alias(f"s{i}") for i in range(64)])
+    width = telemetry.vector_width(once, "embedding")
+    wide = once.union(once).select(*[F.get("embedding", F.lit(i)).alias(f"s{i}") for i in range(width)])
     return profiling.profile_duplicates(wide)
 
 
+FINE = """SELECT (SELECT count(*) FROM events WHERE event_id % 2 = 1) AS duplicate_rows"""
+
+
+def fine_differences(spark, folder, extra):
+    """Every event twice: with the sign of a zero changed, and for even ids a microsecond later."""
+    events = B.table(spark, folder, "events").select("event_id", "ts", *[F.col("value").alias(f"v{i}") for i in range(extra)])
+    later = F.when(F.col("event_id") % 2 == 0, F.col("ts") + F.expr("interval 1 microsecond")).otherwise(F.col("ts"))
+    again = events.withColumn("ts", later).withColumn("zero", F.lit(-0.0))
+    return events.withColumn("zero", F.lit(0.0)).unionByName(again)
+
+
+@query("profile_duplicates_fine", FINE)
+def profile_duplicates_fine(spark, folder):
+    return profiling.profile_duplicates(fine_differences(spark, folder, 1))
+
+
+@query("profile_duplicates_fine_wide", FINE)
+def profile_duplicates_fine_wide(spark, folder):
+    """The same in 43 columns: one rule at any width."""
+    return profiling.profile_duplicates(fine_differences(spark, folder, 40))
+
+
 @query(
     "profile_missing_total",
     f"""WITH {Q.STATS} SELECT CAST(sum(missing_count) AS BIGINT) AS missing_cells, CAST(sum(n_rows) AS BIGINT) AS total_cells,
@@ -82,7 +106,31 @@ def profile_constant(spark, folder):
         round(std, 4) AS std, round(lo, 4) AS min, round(hi, 4) AS max FROM stats""",
 )
 def profile_columns(spark, folder):
-    return profiling.profile_columns(masked_stats(spark, folder, exact_unique=True))
+    stats = masked_stats(spark, folder, exact_unique=True)
+    arrays = masked(spark, folder)
+    kind = arrays.schema["values"].dataType.elementType.simpleString()
+    # Sensors are elements of one array column here, so all have its element type.
+    return profiling.profile_columns(stats, stats.select("sensor_code").withColumn("dtype", F.lit(kind)))
+
+
+@query(
+    "profile_columns_table",
+    """WITH r AS (SELECT 'l_linenumber' AS c, 'int' AS t, CAST(l_linenumber AS DOUBLE) AS v FROM lineitem
+         UNION ALL SELECT 'l_quantity', 'double', l_quantity FROM lineitem
+         UNION ALL SELECT 'l_orderkey', 'bigint', CAST(l_orderkey AS DOUBLE) FROM lineitem)
+       SELECT c AS "column", t AS dtype, count(*) - count(v) AS missing_count, CAST(0 AS DOUBLE) AS missing_pct,
+              count(DISTINCT v) AS unique_count, count(DISTINCT v) <= 1 AS is_constant, round(avg(v), 4) AS mean,
+              round(stddev_samp(v), 4) AS std, round(min(v), 4) AS min, round(max(v), 4) AS max FROM r GROUP BY ALL""",
+)
+def profile_columns_table(spark, folder):
+    """Columns of one table with their own data types."""
+    lines = B.table(spark, folder, "lineitem")
+    names = ["l_linenumber", "l_quantity", "l_orderkey"]
+    catalog = telemetry.sensor_catalog(spark, names)
+    cells = F.array(*[F.struct(F.lit(c).alias("sensor_code"), F.col(c).cast("double").alias("value")) for c in names])
+    readings = lines.select(F.inline(cells))
+    stats = profiling.sensor_stats(readings, catalog, lines, exact_unique=True)
+    return profiling.profile_columns(stats, profiling.column_types(lines, names))
 
 
 @query(
@@ -162,15 +210,19 @@ def dtype_histogram(spark, folder):
     return profiling.dtype_histogram(B.table(spark, folder, "lineitem"))
 
 
-# Sensors 4 and 20 are the masked ones among these candidates.
-GATE_CANDIDATES = [4, 20, 1, 2]
+# Over 30 % of all candidate sensors missing: the unit is held.
+GATE_CHECK = f"""WITH {GAPPY} SELECT production_id, round(share * 100, 2) AS missing_pct,
+    CASE WHEN share > 0.3 THEN 'TIER_1_CRITICAL' END AS gate_tier FROM gate"""
+
+
+def gappy(spark, folder):
+    return B.vectors(B.table(spark, folder, "embeddings"), masked=True, gappy=True)
+
 
-GATE_CHECK = f"""WITH {Q.readings()} SELECT production_id,
-    round(CAST(count(*) - count(value) AS DOUBLE) / count(*) * 100, 2) AS missing_pct,
-    CASE WHEN CAST(count(*) - count(value) AS DOUBLE) / count(*) > 0.3 THEN 'TIER_1_CRITICAL' END AS gate_tier
-    FROM readings WHERE sensor_id IN (4, 20, 1, 2) GROUP BY production_id"""
+def gate_candidates(spark, folder):
+    return star.candidate_ids(star.dim_sensor(profiling.sensor_stats(telemetry.to_readings(gappy(spark, folder)))))
 
 
 @query("missing_row_gate", GATE_CHECK)
 def missing_row_gate(spark, folder):
-    return profiling.missing_row_gate(masked(spark, folder), GATE_CANDIDATES)
+    return profiling.missing_row_gate(gappy(spark, folder), gate_candidates(spark, folder))

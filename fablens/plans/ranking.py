@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fablens import constants as K
 from fablens.operators import attribution, selection, split, star
 from fablens.plans import checks as Q
 from fablens.plans.registry import query
-from fablens.plans.risk import WIDTH, fixed_weights, plain_vectors
+from fablens.plans.risk import fixed_weights, plain_vectors, width
 from fablens.plans.warehouse import masked, masked_stats, units
 from fablens.sources import bindings as B
 from fablens.sources import telemetry
+from fablens.sources.shared import literal_table, materialize
 
 
 def split_vectors(spark, folder):
@@ -21,16 +23,22 @@ def train_medians(train):
     return selection.fit_medians(telemetry.to_readings(train))
 
 
+def imputed_vectors(spark, folder):
+    """Training and test arrays, both filled with the training medians; cut and medians are computed once."""
+    train, test = split_vectors(spark, folder)
+    medians, n = train_medians(train), width(spark, folder)
+    return selection.impute_vectors(train, medians, n), selection.impute_vectors(test, medians, n)
+
+
 def imputed_readings(spark, folder):
-    train, _ = split_vectors(spark, folder)
-    return telemetry.to_readings(selection.impute_vectors(train, train_medians(train), WIDTH), "y")
+    return telemetry.to_readings(imputed_vectors(spark, folder)[0], "y")
 
 
-def ranking(spark, folder):
-    readings = imputed_readings(spark, folder)
+def ranking(spark, folder, readings=None):
+    readings = imputed_readings(spark, folder) if readings is None else readings
     both = selection.separation_score(readings).join(selection.mutual_information(readings), "sensor_id")
     candidates = star.candidate_sensors(star.dim_sensor(masked_stats(spark, folder)))
-    return selection.composite_rank(both.join(candidates.select("sensor_id"), "sensor_id"))
+    return selection.composite_rank(both.join(candidates.select("sensor_id"), "sensor_id"), importance="separation")
 
 
 PLACED = """placed AS (
@@ -105,11 +113,11 @@ def mutual_information(spark, folder):
 
 @query(
     "composite_rank",
-    f"""WITH {Q.RANKING} SELECT sensor_id, round(rf_importance, 6) AS rf_importance,
+    f"""WITH {Q.RANKING} SELECT sensor_id, round(separation, 6) AS separation,
         round(mutual_info, 6) AS mutual_info, round(composite_score, 6) AS composite_score FROM ranking""",
 )
 def composite_rank(spark, folder):
-    columns = ("rf_importance", "mutual_info", "composite_score")
+    columns = ("separation", "mutual_info", "composite_score")
     return ranking(spark, folder).select("sensor_id", *[F.round(c, 6).alias(c) for c in columns])
 
 
@@ -139,40 +147,87 @@ def select_top_k(spark, folder):
 )
 def selected_readings(spark, folder):
     """Training readings of the 50 selected sensors."""
-    selected = selection.select_top_k(ranking(spark, folder))
-    return selection.restrict(imputed_readings(spark, folder), selected).select("production_id", "sensor_id", "value")
+    readings = materialize(imputed_readings(spark, folder), "imputed")
+    selected = selection.select_top_k(ranking(spark, folder, readings))
+    return selection.restrict(readings, selected).select("production_id", "sensor_id", "value")
+
+
+TOP = f"""{Q.RANKING}, top AS (
+  SELECT sensor_id, row_number() OVER (ORDER BY composite_score DESC, sensor_id) AS place FROM ranking
+  QUALIFY place <= 50), filled AS (
+  SELECT production_id, is_train, sensor_id, coalesce(value, median) AS value
+  FROM readings JOIN medians USING (sensor_id) JOIN placed USING (production_id))"""
+
+
+def _slots(n):
+    return ", ".join(f"max(value) FILTER (WHERE place = {i}) AS f{i:02}" for i in range(1, n + 1))
+
+
+def selected_sensors(spark, folder, readings):
+    """The 50 selected sensors, best first: the feature is a top-k."""
+    top = selection.select_top_k(ranking(spark, folder, readings)).select("sensor_id", "composite_score")
+    return [r["sensor_id"] for r in top.orderBy(F.desc("composite_score"), "sensor_id").collect()]
+
+
+def selected_matrices(spark, folder):
+    """(train, test) matrices over the selected sensors, and the sensors."""
+    train, test = imputed_vectors(spark, folder)
+    readings = materialize(telemetry.to_readings(train, "y"), "imputed")
+    chosen = selected_sensors(spark, folder, readings)
+    sides = [selection.feature_matrix(side.select("production_id", "y", "values"), chosen) for side in (train, test)]
+    return *sides, chosen
 
 
-MATRIX = f"""WITH {Q.MEDIANS}, filled AS (
-  SELECT production_id, sensor_id, coalesce(value, median) AS value FROM readings JOIN medians USING (sensor_id))
-  SELECT production_id, max(value) FILTER (WHERE sensor_id = 1) AS sensor_1, max(value) FILTER (WHERE sensor_id = 4) AS sensor_4,
-         max(value) FILTER (WHERE sensor_id = 20) AS sensor_20, max(value) FILTER (WHERE sensor_id = 64) AS sensor_64
-  FROM filled GROUP BY production_id"""
-MATRIX_SENSORS = [1, 4, 20, 64]
+def ranked_columns(matrix, chosen, *keep):
+    """Columns named by rank, so that the check can name them; NULL where there are fewer than 50 sensors."""
+    ranked = [F.col(f"sensor_{s}").alias(f"f{i:02}") for i, s in enumerate(chosen, 1)]
+    blank = [F.lit(None).cast("double").alias(f"f{i:02}") for i in range(len(chosen) + 1, 51)]
+    return matrix.select(*keep, *ranked, *blank)
 
 
-@query("feature_matrix", MATRIX)
+@query(
+    "feature_matrix",
+    f"""WITH {TOP} SELECT production_id, CASE WHEN is_train THEN 'train' ELSE 'test' END AS split, {_slots(50)}
+        FROM filled JOIN top USING (sensor_id) GROUP BY ALL""",
+)
 def feature_matrix(spark, folder):
-    train, _ = split_vectors(spark, folder)
-    filled = selection.impute_vectors(masked(spark, folder), train_medians(train), WIDTH)
-    return selection.feature_matrix(filled.select("production_id", "values"), MATRIX_SENSORS)
+    """The training and the test matrix of the 50 selected sensors."""
+    train, test, chosen = selected_matrices(spark, folder)
+    sides = [ranked_columns(m, chosen, "production_id", F.lit(n).alias("split")) for n, m in (("train", train), ("test", test))]
+    return sides[0].union(sides[1])
+
+
+@query(
+    "selected_features",
+    f"""WITH {TOP} SELECT CAST(place AS INT) AS rank, sensor_id, (SELECT count(*) FROM placed WHERE is_train) AS train_rows,
+        (SELECT count(*) FROM placed WHERE NOT is_train) AS test_rows FROM top""",
+)
+def selected_features(spark, folder):
+    """The record beside the matrices: the selected sensors and the rows of either side."""
+    train, test, chosen = selected_matrices(spark, folder)
+    rows = literal_table(spark, ["rank", "sensor_id"], list(enumerate(chosen, 1)))
+    counted = [side.agg(F.count("*")).scalar() for side in (train, test)]
+    return rows.select("rank", "sensor_id", counted[0].alias("train_rows"), counted[1].alias("test_rows"))
 
 
-@query("pivot_readings", MATRIX)
+@query(
+    "pivot_readings",
+    f"""WITH {TOP} SELECT production_id, {_slots(50)} FROM filled JOIN top USING (sensor_id) WHERE is_train GROUP BY production_id""",
+)
 def pivot_readings(spark, folder):
-    train, _ = split_vectors(spark, folder)
-    filled = selection.impute(telemetry.to_readings(masked(spark, folder)), train_medians(train))
-    return selection.pivot_readings(filled, MATRIX_SENSORS)
+    """The training matrix from long readings."""
+    readings = materialize(imputed_readings(spark, folder), "imputed")
+    chosen = selected_sensors(spark, folder, readings)
+    return ranked_columns(selection.pivot_readings(readings, chosen), chosen, "production_id")
 
 
-def rounded_means(vectors):
-    means = attribution.fit_means(vectors).select("sensor_id", F.round("mean", 9).alias("mean"))
-    return selection.as_vector(means, "mean", WIDTH)
+def shap_inputs(spark, folder):
+    vectors, n = plain_vectors(spark, folder), width(spark, folder)
+    return vectors, fixed_weights(n), selection.as_vector(attribution.fit_means(vectors), "mean", n)
 
 
 def shap(spark, folder):
-    vectors = plain_vectors(spark, folder)
-    return attribution.linear_shap(vectors, fixed_weights(), rounded_means(vectors))
+    return attribution.linear_shap(*shap_inputs(spark, folder))
 
 
 @query("linear_shap", f"WITH {Q.SHAP} SELECT production_id, sensor_id, round(shap, 6) + 0 AS shap FROM shap")
@@ -197,10 +252,9 @@ def shap_importance(spark, folder):
 
 @query(
     "action_playbook",
-    f"""WITH {IMPORTANCE} SELECT *, CASE sensor_id
-          WHEN 60 THEN 'Chamber Plasma RF Matching - Inspect capacitor alignment and reflected power impedance'
-          WHEN 34 THEN 'Electrostatic Chuck (ESC) Clamping Voltage - Inspect chuck de-chucking charge'
-          ELSE 'Standard Metrology Audit - Inspect tool recipe logs and chamber baseline' END AS recommended_engineering_action
+    f"""WITH {IMPORTANCE} SELECT *, CASE sensor_code
+          {" ".join(f"WHEN '{code}' THEN '{action}'" for code, action in K.PLAYBOOK)}
+          ELSE '{K.DEFAULT_ACTION}' END AS recommended_engineering_action
         FROM importance""",
 )
 def action_playbook(spark, folder):
@@ -222,6 +276,5 @@ def top_risk_drivers(spark, folder):
         SELECT production_id, CAST(place AS INT) AS driver_rank, sensor_id, round(shap, 6) AS shap FROM placed WHERE place <= 3""",
 )
 def lot_top_drivers(spark, folder):
-    vectors = plain_vectors(spark, folder)
-    drivers = attribution.lot_top_drivers(vectors, fixed_weights(), rounded_means(vectors))
+    drivers = attribution.lot_top_drivers(*shap_inputs(spark, folder))
     return drivers.withColumn("shap", F.round("shap", 6))

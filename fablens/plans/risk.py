@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fablens.operators import dispatch, evaluation, models, star
+from fablens import constants as K
+from fablens.operators import dispatch, evaluation, models, profiling, selection, star
 from fablens.operators.attribution import fit_means
 from fablens.operators.selection import as_vector
 from fablens.plans import checks as Q
@@ -12,8 +13,8 @@ from fablens.plans.registry import query
 from fablens.plans.warehouse import units
 from fablens.sources import bindings as B
 from fablens.sources import telemetry
+from fablens.streaming import live
 
-WIDTH = 64
 MODEL = ["model"]
 
 
@@ -33,9 +34,14 @@ def plain_vectors(spark, folder):
     return B.vectors(B.table(spark, folder, "embeddings"))
 
 
-def fixed_weights():
+def width(spark, folder):
+    """Number of sensors, from the data."""
+    return telemetry.vector_width(B.table(spark, folder, "embeddings"), "embedding")
+
+
+def fixed_weights(sensors):
     """Weights of the closed-form score: sensor j weighs ((j mod 7) - 3) / 10."""
-    return F.array(*[F.lit((j % 7 - 3) / 10) for j in range(1, WIDTH + 1)])
+    return F.array(*[F.lit((j % 7 - 3) / 10) for j in range(1, sensors + 1)])
 
 
 @query(
@@ -55,14 +61,14 @@ def class_weights(spark, folder):
 )
 def standardize(spark, folder):
     vectors = plain_vectors(spark, folder)
-    fitted = fit_means(vectors)
-    z = models.standardize_vectors(vectors, as_vector(fitted, "mean", WIDTH), as_vector(fitted, "std", WIDTH))
+    fitted, n = fit_means(vectors), width(spark, folder)
+    z = models.standardize_vectors(vectors, as_vector(fitted, "mean", n), as_vector(fitted, "std", n))
     return telemetry.to_readings(z).select("production_id", "sensor_id", F.round("value", 6).alias("z"))
 
 
 @query("score_lots", f"SELECT production_id, y, round(p, 6) AS p FROM {Q.LINEAR_P} s")
 def score_lots(spark, folder):
-    scored = models.linear_score(plain_vectors(spark, folder), fixed_weights(), -2.2)
+    scored = models.linear_score(plain_vectors(spark, folder), fixed_weights(width(spark, folder)), -2.2)
     return scored.select("production_id", "y", F.round("p", 6).alias("p"))
 
 
@@ -228,12 +234,19 @@ def tier_summary(spark, folder):
     return dispatch.tier_summary(routed(spark, folder))
 
 
+@query("dispatch_queue", f"WITH {Q.ALERTS} SELECT * FROM alerts")
+def dispatch_queue(spark, folder):
+    """The whole queue, in order."""
+    return dispatch.dispatch_queue(routed(spark, folder))
+
+
 @query(
-    "dispatch_queue",
+    "dispatch_queue_head",
     f"""WITH {Q.ALERTS} SELECT * FROM alerts ORDER BY CASE alert_urgency WHEN 'URGENT' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END,
         failure_risk_pct DESC, production_id LIMIT 100""",
 )
-def dispatch_queue(spark, folder):
+def dispatch_queue_head(spark, folder):
+    """A top-k report: the first 100 alerts of the queue."""
     return dispatch.dispatch_queue(routed(spark, folder), 100)
 
 
@@ -261,3 +274,90 @@ def mitigated_cost_by_tier(spark, folder):
 def cost_of_quality_bi(spark, folder):
     alerts = dispatch.operational_alerts(routed(spark, folder))
     return dispatch.cost_of_quality_bi(alerts, star.fact_quality_outcome(units(spark, folder)))
+
+
+# Candidate sensors and medians of the gappy readings; the gate then holds units that miss over 30 % of the candidates.
+GAPPY = f"""{Q.readings(gappy=True)}, candidate AS (
+  SELECT sensor_id FROM readings GROUP BY sensor_id HAVING count(value) * 2 >= count(*) AND count(DISTINCT value) > 1),
+  gate AS (
+  SELECT production_id, CAST(count(*) - count(value) AS DOUBLE) / count(*) AS share
+  FROM readings JOIN candidate USING (sensor_id) GROUP BY production_id)"""
+
+GAPPY_ALERTS = f"""WITH {GAPPY}, medians AS (SELECT sensor_id, median(value) AS median FROM readings GROUP BY sensor_id), scores AS (
+  SELECT production_id, max(y) AS y,
+         1 / (1 + exp(-(sum(coalesce(value, median) * (CAST(sensor_id % 7 - 3 AS DOUBLE) / 10)) - 2.2))) AS p
+  FROM readings JOIN medians USING (sensor_id) GROUP BY production_id), held AS (
+  SELECT production_id, y, CASE WHEN share <= 0.3 THEN p END AS p FROM scores JOIN gate USING (production_id))
+  SELECT production_id, printf('LOT_%04d', production_id) AS lot_id, round(p * 100, 2) AS failure_risk_pct,
+         CASE WHEN p IS NULL OR p >= 0.14 THEN '{K.TIER_1}' WHEN p >= 0.08 THEN '{K.TIER_2}' ELSE '{K.TIER_3}' END AS risk_tier,
+         CASE WHEN p IS NULL OR p >= 0.14 THEN '{K.TIER_1_ACTION}' WHEN p >= 0.08 THEN '{K.TIER_2_ACTION}'
+              ELSE '{K.TIER_3_ACTION}' END AS operational_action,
+         CASE WHEN p IS NULL OR p >= 0.14 THEN 'URGENT' WHEN p >= 0.08 THEN 'MEDIUM' ELSE 'LOW' END AS alert_urgency,
+         CASE WHEN y = 1 THEN 'DEFECT' ELSE 'CONFORMING' END AS actual_quality FROM held"""
+
+
+def gappy_rules(spark, folder):
+    """Weights, intercept, thresholds, medians and candidates for the gappy units."""
+    vectors = B.vectors(B.table(spark, folder, "embeddings"), masked=True, gappy=True)
+    readings, n = telemetry.to_readings(vectors), width(spark, folder)
+    medians = as_vector(selection.fit_medians(readings), "median", n)
+    candidates = star.candidate_ids(star.dim_sensor(profiling.sensor_stats(readings)))
+    return fixed_weights(n), -2.2, 0.14, K.ELEVATED_RISK, medians, candidates
+
+
+# Every tenth line has no score: NULL, or NaN where the line number is even.
+UNSCORED = """scored AS (
+  SELECT l_quantity / 50 AS p, l_orderkey % 10 = 0 AS held, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem)"""
+
+
+def partly_scored(spark, folder):
+    lines = B.table(spark, folder, "lineitem")
+    gap = F.when(F.col("l_linenumber") % 2 == 0, float("nan"))
+    return lines.select(
+        F.when(F.col("l_orderkey") % 10 == 0, gap).otherwise(F.col("l_quantity") / 50).alias("p"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+    )
+
+
+@query(
+    "confusion_matrix_unscored",
+    f"""WITH {UNSCORED} SELECT count(*) FILTER (WHERE y = 0 AND p < 0.14 AND NOT held) AS tn,
+        count(*) FILTER (WHERE y = 0 AND (p >= 0.14 OR held)) AS fp,
+        count(*) FILTER (WHERE y = 1 AND p < 0.14 AND NOT held) AS fn,
+        count(*) FILTER (WHERE y = 1 AND (p >= 0.14 OR held)) AS tp FROM scored""",
+)
+def confusion_matrix_unscored(spark, folder):
+    """Lots without a score count as flagged, so the four counts add up to all lots."""
+    return evaluation.confusion_matrix(partly_scored(spark, folder), 0.14)
+
+
+@query(
+    "threshold_curve_unscored",
+    f"""WITH {UNSCORED}, grid AS (SELECT (2 + i) / CAST(100 AS DOUBLE) AS threshold FROM range(89) t(i)), curve AS (
+          SELECT threshold, count(*) FILTER (WHERE y = 0 AND p < threshold AND NOT held) AS tn,
+                 count(*) FILTER (WHERE y = 0 AND (p >= threshold OR held)) AS fp,
+                 count(*) FILTER (WHERE y = 1 AND p < threshold AND NOT held) AS fn,
+                 count(*) FILTER (WHERE y = 1 AND (p >= threshold OR held)) AS tp
+          FROM scored CROSS JOIN grid GROUP BY threshold)
+        SELECT *, fn * CAST(450 AS DOUBLE) + fp * CAST(25 AS DOUBLE) AS cost_gbp FROM curve""",
+)
+def threshold_curve_unscored(spark, folder):
+    return evaluation.threshold_curve(partly_scored(spark, folder))
+
+
+@query(
+    "route_lots_unscored",
+    f"""WITH {UNSCORED} SELECT CASE WHEN held OR p >= 0.14 THEN '{K.TIER_1}' WHEN p >= 0.08 THEN '{K.TIER_2}'
+        ELSE '{K.TIER_3}' END AS risk_tier, y, count(*) AS lots FROM scored GROUP BY ALL""",
+)
+def route_lots_unscored(spark, folder):
+    """What has no score is held."""
+    tiers = dispatch.route_lots(partly_scored(spark, folder), 0.14)
+    return tiers.groupBy("risk_tier", "y").agg(F.count("*").alias("lots"))
+
+
+@query("route_gappy_units", GAPPY_ALERTS)
+def route_gappy_units(spark, folder):
+    """Units with missing readings: gated over the candidate sensors, imputed, scored and routed."""
+    vectors = B.vectors(B.table(spark, folder, "embeddings"), masked=True, gappy=True)
+    return live.stream_route_lots(vectors, *gappy_rules(spark, folder))

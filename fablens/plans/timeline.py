@@ -188,12 +188,12 @@ def _plan_sql(group: str, source: str) -> str:
     "safety_stock_plan",
     _plan_sql(
         "l_suppkey",
-        """SELECT l_suppkey, l_shipdate, count(*) AS units, count(*) FILTER (WHERE l_returnflag = 'R') AS defects
+        """SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, count(*) AS units, count(*) FILTER (WHERE l_returnflag = 'R') AS defects
            FROM lineitem GROUP BY ALL""",
     ),
 )
 def safety_stock_plan(spark, folder):
-    per_day = B.table(spark, folder, "lineitem").groupBy("l_suppkey", "l_shipdate").agg(
+    per_day = B.table(spark, folder, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(
         F.count("*").alias("units"), N.count_where(F.col("l_returnflag") == "R").alias("defects")
     )
     return supply.safety_stock_plan(per_day, ["l_suppkey"])
@@ -203,17 +203,19 @@ def safety_stock_plan(spark, folder):
     "safety_stock_by_brand",
     _plan_sql(
         "p_brand",
-        """SELECT p_brand, l_shipdate, count(*) AS units, count(*) FILTER (WHERE l_returnflag = 'R') AS defects
+        """SELECT p_brand, CAST(l_shipdate AS DATE) AS day, count(*) AS units, count(*) FILTER (WHERE l_returnflag = 'R') AS defects
            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
     ),
 )
 def safety_stock_by_brand(spark, folder):
     """Lines are folded per part and day before the product lookup."""
-    per_part = B.table(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"), "l_shipdate").agg(
+    per_part = B.table(spark, folder, "lineitem").groupBy(
+        F.col("l_partkey").alias("p_partkey"), F.to_date("l_shipdate").alias("day")
+    ).agg(
         F.count("*").alias("units"), N.count_where(F.col("l_returnflag") == "R").alias("defects")
     )
     brands = B.table(spark, folder, "part").select("p_partkey", "p_brand")
-    per_day = per_part.join(brands, "p_partkey").groupBy("p_brand", "l_shipdate").agg(
+    per_day = per_part.join(brands, "p_partkey").groupBy("p_brand", "day").agg(
         F.sum("units").alias("units"), F.sum("defects").alias("defects")
     )
     return supply.safety_stock_plan(per_day, ["p_brand"])

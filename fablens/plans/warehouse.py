@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fablens import constants as K
@@ -12,7 +14,7 @@ from fablens.plans import checks as Q
 from fablens.plans.registry import query
 from fablens.sources import bindings as B
 from fablens.sources import sinks, telemetry
-from fablens.sources.shared import new_path
+from fablens.sources.shared import materialize, new_path
 
 
 def units(spark, folder):
@@ -112,6 +114,20 @@ def star_join(spark, folder):
     return star.star_join(star.dim_production_entity(u), star.fact_quality_outcome(u))
 
 
+@query("star_join_bucketed", f"WITH {Q.STAR} SELECT * FROM star")
+def star_join_bucketed(spark, folder):
+    """Both tables bucketed by their key once; the join then moves no row."""
+    u = units(spark, folder)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sides = [
+        sinks.write_bucketed(
+            table, f"fablens_{name}_{uuid.uuid4().hex}", "production_id", buckets, new_path(spark, f"bucketed-{name}")
+        )
+        for name, table in (("production", star.dim_production_entity(u)), ("quality", star.fact_quality_outcome(u)))
+    ]
+    return star.star_join(*sides)
+
+
 @query("star_outcomes", f"WITH {Q.STAR} SELECT * FROM star")
 def star_outcomes(spark, folder):
     return outcomes(spark, folder)
@@ -124,37 +140,27 @@ def dim_sensor(spark, folder):
 
 @query(
     "staging_payload",
-    f"""WITH {Q.readings()} SELECT production_id, CASE WHEN max(y) = 1 THEN 1 ELSE -1 END AS quality_label,
-        count(value) AS readings, round(sum(value), 6) AS total FROM readings GROUP BY production_id""",
+    f"""WITH {Q.readings()} SELECT production_id, CASE WHEN y = 1 THEN 1 ELSE -1 END AS quality_label,
+        'Attribute ' || sensor_id AS sensor_code, value FROM readings WHERE value IS NOT NULL""",
 )
 def staging_payload(spark, folder):
+    """Every key and value of the payloads."""
     staged = telemetry.staging_payload(masked(spark, folder))
-    back = F.from_json("sensor_data", "map<string,double>")
-    return staged.select(
-        "production_id",
-        "quality_label",
-        F.size(back).cast("bigint").alias("readings"),
-        F.round(F.aggregate(F.map_values(back), F.lit(0.0), lambda t, v: t + v), 6).alias("total"),
-    )
+    return telemetry.read_payload(staged, "sensor_data", "production_id", "quality_label")
 
 
 @query(
     "staging_raw",
-    f"""WITH {Q.readings()} SELECT production_id, CASE WHEN max(y) = 1 THEN 1 ELSE -1 END AS quality_label,
+    f"""WITH {Q.readings()} SELECT production_id, CASE WHEN y = 1 THEN 1 ELSE -1 END AS quality_label,
         TIMESTAMP '2008-07-19 11:55:00' + production_id * INTERVAL 1 HOUR AS event_timestamp,
-        count(value) AS readings, 'line_gateway' AS data_source, TRUE AS stamped
-        FROM readings GROUP BY production_id""",
+        'line_gateway' AS data_source, TRUE AS stamped, 'Attribute ' || sensor_id AS sensor_code, value
+        FROM readings WHERE value IS NOT NULL""",
 )
 def staging_raw(spark, folder):
     raw = star.staging_raw(telemetry.staging_payload(masked(spark, folder)), "line_gateway")
-    return raw.select(
-        "production_id",
-        "quality_label",
-        "event_timestamp",
-        F.size(F.from_json("sensor_data", "map<string,double>")).cast("bigint").alias("readings"),
-        "data_source",
-        F.col("ingested_at").isNotNull().alias("stamped"),
-    )
+    stamped = raw.withColumn("stamped", F.col("ingested_at").isNotNull())
+    keep = ("production_id", "quality_label", "event_timestamp", "data_source", "stamped")
+    return telemetry.read_payload(stamped, "sensor_data", *keep)
 
 
 @query(
@@ -178,7 +184,7 @@ def candidate_sensors(spark, folder):
         (SELECT sensor_code FROM stats WHERE missing_rate > 50 UNION SELECT sensor_code FROM stats WHERE is_constant)""",
 )
 def candidate_set_difference(spark, folder):
-    stats = masked_stats(spark, folder)
+    stats = materialize(masked_stats(spark, folder), "sensor-stats")
     high = profiling.profile_high_missing(stats).select(F.col("column").alias("sensor_code"))
     constant = profiling.profile_constant(stats).select(F.col("column").alias("sensor_code"))
     return star.set_difference(stats.select("sensor_code"), constant, high)
@@ -226,7 +232,7 @@ def orphans(spark, folder):
 def _write_wide(spark, folder):
     """Masked sensor arrays as a wide CSV pair in id order: telemetry without ids, and labels."""
     vectors = masked(spark, folder).repartitionByRange("production_id").sortWithinPartitions("production_id")
-    width = 64
+    width = telemetry.vector_width(vectors)
     ts = F.when(F.col("production_id") % 2 == 0, F.date_format("event_ts", "dd/MM/yyyy HH:mm:ss")).otherwise(
         F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss")
     )
@@ -263,12 +269,20 @@ def read_telemetry(spark, folder):
     )
 
 
-@query("split_target", "SELECT 'label' AS target, count(label) AS labels, 2 AS feature_columns FROM embeddings")
+@query(
+    "split_target",
+    """SELECT 'label' AS part, label AS value, count(*) AS rows, 'label' AS columns FROM embeddings GROUP BY label
+       UNION ALL SELECT 'vec_id', vec_id, count(*), 'vec_id,embedding' FROM embeddings GROUP BY vec_id""",
+)
 def split_target(spark, folder):
+    """Rows of both parts, and their columns."""
     features, target = telemetry.split_target(B.table(spark, folder, "embeddings"), "label")
-    return target.agg(F.count("label").alias("labels")).select(
-        F.lit("label").alias("target"), "labels", F.lit(len(features.columns)).alias("feature_columns")
-    )
+
+    def counted(part, key):
+        rows = part.groupBy(F.col(key).cast("bigint").alias("value")).agg(F.count("*").alias("rows"))
+        return rows.select(F.lit(key).alias("part"), "value", "rows", F.lit(",".join(part.columns)).alias("columns"))
+
+    return counted(target, "label").union(counted(features, "vec_id"))
 
 
 @query(
@@ -363,7 +377,7 @@ def summary_json(spark, folder):
         FROM summary, (VALUES ('BATCH_001'), ('BATCH_002')) v(b)""",
 )
 def audit_append(spark, folder):
-    summary = quality_summary_frame(spark, folder)
+    summary = materialize(quality_summary_frame(spark, folder), "summary")
     path = new_path(spark, "audit")
     sinks.audit_append(summary, "BATCH_001", path)
     return sinks.audit_append(summary, "BATCH_002", path).drop("check_timestamp", "notes")

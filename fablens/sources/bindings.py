@@ -27,11 +27,12 @@ def units(events: DataFrame) -> DataFrame:
     )
 
 
-def vectors(embeddings: DataFrame, masked: bool = False) -> DataFrame:
+def vectors(embeddings: DataFrame, masked: bool = False, gappy: bool = False) -> DataFrame:
     """Sensor arrays: one sensor per dimension, label 0 is the failed class.
 
     The row id doubles as the clock (hours). ``masked`` blanks every 16th
-    sensor for 60 % of the units and freezes another 16th at 1.0.
+    sensor for 60 % of the units and freezes another 16th at 1.0. ``gappy`` blanks two sensors of five
+    in every 20th unit, and one of five in another 20th.
     """
     values = F.col("embedding").cast("array<double>")
     if masked:
@@ -41,6 +42,11 @@ def vectors(embeddings: DataFrame, masked: bool = False) -> DataFrame:
             .when(i % 16 == 5, F.lit(1.0))
             .otherwise(v),
         )
+    if gappy:
+        turn = F.col("vec_id") % 20
+        values = F.transform(
+            values, lambda v, i: F.when(~(((turn == 7) & (i % 5 < 2)) | ((turn == 8) & (i % 5 == 1))), v)
+        )
     start = F.lit("2008-07-19 11:55:00").cast("timestamp_ntz")
     return embeddings.select(
         F.col("vec_id").alias("production_id"),

@@ -51,35 +51,57 @@ def split_target(original: DataFrame, target: str = "class") -> tuple[DataFrame,
     return original.drop(target), original.select(target, *files)
 
 
-def with_position(frame: DataFrame) -> DataFrame:
-    """1-based row number in file order, without pulling rows into one task.
+# The block table is sent to all tasks up to this many blocks (about 60 MB of paths and offsets, or 128 TB of files).
+BROADCAST_BLOCKS = 1_000_000
 
-    Rows are counted per file block. Blocks are ordered by path and offset and
+
+def with_position(frame: DataFrame) -> tuple[DataFrame, int]:
+    """1-based row number ``_position`` in file order, and the number of rows; no row goes into one task.
+
+    The rows are marked in one scan and written once; block totals and positions both come from the written
+    files, so they agree however the scan was split. Blocks are ordered by path and offset and
     only the block totals (one row per block) go through the ordered window.
     """
     block = list(FILE_COLUMNS)
-    marked = frame.withColumn("_mark", F.monotonically_increasing_id())
+    marked = materialize(frame.withColumn("_mark", F.monotonically_increasing_id()), "marked-rows")
     blocks = marked.groupBy(*block).agg(F.count("*").alias("_rows"), F.min("_mark").alias("_first"))
     before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    blocks = materialize(blocks.drop("_rows"), "file-blocks")
-    return (
+    blocks = materialize(blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0))), "file-blocks")
+    count, rows = blocks.agg(F.count("*"), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    blocks = blocks.drop("_rows")
+    if count <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    numbered = (
         marked.join(blocks, block)
         .withColumn("_position", F.col("_mark") - F.col("_first") + F.col("_offset") + 1)
         .drop("_mark", "_first", "_offset", *block)
     )
+    return numbered, rows
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, key: str | None = None) -> DataFrame:
-    """Labels onto features by ``key``; without one, by row position in the files.
+    """Labels onto features by ``key`` (rows without one keep NULL); without a key, by row position in the files.
 
-    The position becomes ``production_id``, so nothing later depends on row order.
+    The position becomes ``production_id``, so nothing later depends on row order. Files with different numbers of rows
+    can't be aligned by position and raise.
     """
     if key:
-        return features.join(labels, key)
+        return features.join(labels, key, "left")
     target = [c for c in labels.columns if c not in FILE_COLUMNS][0]
-    right = with_position(labels).select("_position", F.col(f"`{target}`").cast("int").alias("raw_label"))
-    return with_position(features).join(right, "_position").withColumnRenamed("_position", "production_id")
+    right, n_labels = with_position(labels)
+    left, n_rows = with_position(features)
+    if n_rows != n_labels:
+        raise ValueError(f"{n_rows} rows of features, but {n_labels} labels")
+    right = right.select("_position", F.col(_quoted(target)).cast("int").alias("raw_label"))
+    return left.join(right, "_position").withColumnRenamed("_position", "production_id")
+
+
+def vector_width(vectors: DataFrame, column: str = "values") -> int:
+    """The length that all arrays of the column share; uneven ones raise."""
+    least, most = vectors.agg(F.min(F.size(column)), F.max(F.size(column))).first()
+    if least != most:
+        raise ValueError(f"arrays of {least} to {most} sensors")
+    return most or 0
 
 
 def to_vectors(wide: DataFrame, sensors: list[str], keep: list[str]) -> DataFrame:

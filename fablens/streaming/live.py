@@ -14,7 +14,7 @@ from fablens.functions import calendar as C
 from fablens.functions import numbers as N
 from fablens.operators.dispatch import operational_alerts, route_lots
 from fablens.operators.models import linear_score
-from fablens.operators.profiling import missing_row_gate
+from fablens.operators.profiling import missing_row_gate, missing_share
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -49,10 +49,32 @@ def with_event_time(stream: DataFrame, ts: str = "event_ts") -> DataFrame:
 
 
 def stream_route_lots(
-    vectors: DataFrame, weights: Column, intercept: float, t1: float, t2: float = K.ELEVATED_RISK
+    vectors: DataFrame,
+    weights: Column,
+    intercept: float,
+    t1: float,
+    t2: float = K.ELEVATED_RISK,
+    fill: Column | None = None,
+    candidates: list[int] | None = None,
+    max_missing: float = K.MAX_MISSING_FEATURES,
 ) -> DataFrame:
-    """Score and route each unit on arrival. Stateless."""
-    return operational_alerts(route_lots(linear_score(vectors, weights, intercept), t1, t2))
+    """Gate, impute, score and route each unit on arrival. Stateless.
+
+    ``fill`` is an array of fitted medians for missing readings. With ``candidates`` a unit that misses too many of
+    them gets no score; units without a score, for either reason, are held.
+    """
+    passed = vectors
+    if candidates is not None:
+        share = missing_share(F.col("values"), candidates)
+        passed = passed.withColumn("_gated", share > max_missing)
+    if fill is not None:
+        passed = passed.withColumn("_fill", fill).withColumn(
+            "values", F.zip_with("values", "_fill", lambda v, m: F.coalesce(v, m))
+        )
+    scored = linear_score(passed, weights, intercept)
+    if candidates is not None:
+        scored = scored.withColumn("p", F.when(~F.col("_gated"), F.col("p")))
+    return operational_alerts(route_lots(scored, t1, t2))
 
 
 def stream_yield_windows(units: DataFrame, lateness: str = "1 hour", by_shift: bool = False) -> DataFrame:
@@ -82,14 +104,14 @@ def stream_yield_windows(units: DataFrame, lateness: str = "1 hour", by_shift: b
 
 
 def stream_dedup_units(
-    units: DataFrame, key: str = "production_id", lateness: str = "1 hour", spread: int = 16
+    units: DataFrame, key: str = "production_id", lateness: str = "1 hour", spread: int = 1
 ) -> DataFrame:
     """Drop re-delivered units that arrive within ``lateness`` of the first.
 
-    A unit delivered over and over would send all its copies to one task. They
-    are first dropped within ``spread`` slots per key (taken from the input
+    A unit delivered over and over sends all its copies to one task. Where that happens,
+    ``spread`` > 1 drops copies first within that many slots per key (taken from the input
     partition), which leaves at most ``spread`` rows of it per batch for the
-    second, exact pass. ``spread=1`` skips the first pass.
+    second, exact pass, at the price of a second state.
     """
     marked = units.withWatermark("event_ts", lateness)
     if spread > 1:

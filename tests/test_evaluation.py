@@ -128,3 +128,15 @@ def test_low_first_bound_leaves_tier_2_empty(spark):
     df = spark.createDataFrame([(i, i / 100, 0) for i in range(30)], "production_id bigint, p double, y int")
     tiers = {r["risk_tier"] for r in dispatch.route_lots(df, 0.05).collect()}
     assert tiers == {"TIER_1_CRITICAL", "TIER_3_NOMINAL"}
+
+
+def test_unscored_rows_count_everywhere(spark):
+    scored = spark.createDataFrame([(0.5, 1), (None, 0), (float("nan"), 1), (0.01, 0)], "p double, y int")
+    matrix = evaluation.confusion_matrix(scored, 0.14).first().asDict()
+    assert matrix == {"tn": 1, "fp": 1, "fn": 0, "tp": 2}
+    for row in evaluation.threshold_curve(scored).collect():
+        assert row["tn"] + row["fp"] + row["fn"] + row["tp"] == 4
+        if round(row["threshold"], 2) == 0.14:
+            assert (row["tn"], row["fp"], row["fn"], row["tp"]) == (1, 1, 0, 2)
+    again = evaluation.confusion_matrix(evaluation.score_counts(scored), 0.14).first().asDict()
+    assert again == matrix

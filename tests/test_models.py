@@ -122,15 +122,3 @@ def test_lot_drivers_break_ties_by_sensor(spark):
     ones, zeros = F.array(*[F.lit(1.0)] * 4), F.array(*[F.lit(0.0)] * 4)
     rows = attribution.lot_top_drivers(lots, ones, zeros, 3).collect()
     assert [(r["driver_rank"], r["sensor_id"], r["shap"]) for r in rows] == [(1, 3, 3.0), (2, 1, 1.0), (3, 2, -1.0)]
-
-
-@pytest.mark.parametrize("name", ["train_dummy_majority", "train_logistic", "train_random_forest", "explain_logistic", "save_and_load_model", "rf_importance", "feature_ranking"])
-def test_learned_queries_run(spark, folder, name):
-    from fablens.plans import QUERIES
-
-    rows = QUERIES[name](spark, folder).collect()
-    assert rows
-    if name.startswith("train_"):
-        assert all(0 <= r["p"] <= 1 for r in rows)
-    if name == "save_and_load_model":
-        assert all(r["p"] == r["p_loaded"] for r in rows)

@@ -110,3 +110,30 @@ def test_matrix_from_arrays_and_from_readings_agree(spark):
     a = selection.feature_matrix(vectors, [3, 1]).orderBy("production_id").collect()
     b = selection.pivot_readings(telemetry.to_readings(vectors), [3, 1]).orderBy("production_id").collect()
     assert [tuple(x) for x in a] == [tuple(x) for x in b]
+
+
+def test_null_group_and_missed_bracket(spark, monkeypatch):
+    """A NULL group has a median of its own; a bracket that misses is widened."""
+    monkeypatch.setattr(selection, "REACH", 1e-4)
+    monkeypatch.setattr(selection, "SKETCH", 2)
+    rows = [(g, float(v)) for g in (None, 1, 2) for v in range(1, 1001 + (g or 0))] + [(3, None)]
+    df = spark.createDataFrame(rows, "sensor_id int, value double")
+    got = {r["sensor_id"]: r["median"] for r in selection.fit_medians(df).collect()}
+    assert got == {None: 500.5, 1: 501.0, 2: 501.5, 3: None}
+
+
+def test_medians_move_no_raw_readings_by_group(spark, monkeypatch):
+    """With broadcasts off, readings meet their bracket by group and slot."""
+    plans = []
+    real = selection.materialize
+    monkeypatch.setattr(
+        selection, "materialize", lambda df, label: (plans.append((label, df._jdf.queryExecution().executedPlan().toString())), real(df, label))[1]
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(5000).selectExpr("cast(id % 3 as int) AS tool", "cast(id AS double) AS value")
+        selection.fit_medians(df, by="tool")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    counted = next(p for label, p in plans if label == "median-counts")
+    assert "_at" in counted.split("SortMergeJoin")[1]

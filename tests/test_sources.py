@@ -36,12 +36,61 @@ def test_one_large_file_is_numbered_across_splits(spark, tmp_path):
     try:
         df = telemetry.read_telemetry(spark, str(tmp_path / "f.csv"), ts=None)
         assert df.rdd.getNumPartitions() > 3
-        wrong = telemetry.with_position(df).where(F.col("_position") != F.col("a") + 1)
-        assert wrong.count() == 0
+        numbered, rows = telemetry.with_position(df)
+        assert rows == 20_000
+        assert numbered.where(F.col("_position") != F.col("a") + 1).count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_positions_survive_other_splits_later(spark, tmp_path):
+    """The split size may change between the steps; rows are numbered from what was written once."""
+    write_csv(tmp_path / "f.csv", ["a"] + [str(i) for i in range(20_000)])
+    write_csv(tmp_path / "l.csv", ["class"] + [str(i % 2) for i in range(20_000)])
+    features = telemetry.read_telemetry(spark, str(tmp_path / "f.csv"), ts=None)
+    labels = telemetry.read_telemetry(spark, str(tmp_path / "l.csv"), ts=None)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+        joined = telemetry.attach_labels(features, labels)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+        assert joined.count() == 20_000
+        assert joined.where((F.col("production_id") != F.col("a") + 1) | (F.col("raw_label") != F.col("a") % 2)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_unequal_files_raise(spark, tmp_path):
+    write_csv(tmp_path / "f.csv", ["a", "1", "2", "3"])
+    write_csv(tmp_path / "l.csv", ["class", "1", "-1"])
+    features, labels = (telemetry.read_telemetry(spark, str(tmp_path / n), ts=None) for n in ("f.csv", "l.csv"))
+    with pytest.raises(ValueError):
+        telemetry.attach_labels(features, labels)
+
+
+def test_uneven_arrays_raise(spark):
+    df = spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "values array<double>")
+    with pytest.raises(ValueError):
+        telemetry.vector_width(df)
+
+
+def test_shared_folder(spark, tmp_path):
+    """Only the files of tables that were not discarded remain, and cleanup removes them."""
+    import os
+
+    base = shared.shared_folder(spark)
+    before = set(os.listdir(f"{base}/fablens")) if os.path.isdir(f"{base}/fablens") else set()
+    one, two = shared.materialize(spark.range(3), "one"), shared.materialize(spark.range(4), "two")
+    shared.discard(one)
+    left = set(os.listdir(f"{base}/fablens")) - before
+    assert len(left) == 1 and next(iter(left)).startswith("two-")
+    assert two.count() == 4
+    mine = shared._written.pop(spark.sparkContext.applicationId)
+    shared._written[spark.sparkContext.applicationId] = [two.written_to]
+    assert shared.cleanup(spark) == 1
+    assert set(os.listdir(f"{base}/fablens")) == before
+    shared._written[spark.sparkContext.applicationId] = [p for p in mine if p != two.written_to]
+
+
 def test_nan_and_empty_cells_are_null(spark, tmp_path):
     write_csv(tmp_path / "f.csv", ["timestamp,a,b", "2024-01-01 00:00,NaN,1", "2024-01-01 00:00,,2"])
     df = telemetry.read_telemetry(spark, str(tmp_path / "f.csv"))
@@ -54,6 +103,7 @@ def test_labels_attach_by_key(spark):
     labels = spark.createDataFrame([(1, -1), (2, 1)], "production_id bigint, raw_label int")
     got = {r["production_id"]: r["raw_label"] for r in telemetry.attach_labels(features, labels, "production_id").collect()}
     assert got == {1: -1, 2: 1}
+    assert telemetry.attach_labels(features, labels.limit(0), "production_id").count() == 2
 
 
 def test_payload_drops_nulls_and_reads_back(spark):

@@ -27,10 +27,9 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("ratio, small", [(0.8, 0), (0.31, 0), (0.31, 100_000)])
-def test_cut_equals_a_sort(spark, monkeypatch, case, ratio, small):
-    """With ``small`` 0 the cut is found by counting alone, down to the id."""
-    monkeypatch.setattr(split, "SMALL", small)
+@pytest.mark.parametrize("ratio", [0.8, 0.31])
+def test_cut_equals_a_sort(spark, case, ratio):
+    """The cut is found by counting alone, down to the id."""
     r = random.Random(case)
     ids = r.sample(range(-5_000_000, 10**12), 700)
     rows = [(CASES[case](r, i), key) for i, key in enumerate(ids)]
@@ -69,6 +68,18 @@ def test_rows_without_time_are_test_rows(spark):
         split.chronological_cut(frame(spark, rows), ratio=1.0)
 
 
+def test_rows_without_id_come_last_within_an_instant(spark):
+    rows = [(START, i) for i in range(9)] + [(START, None)]
+    df = frame(spark, rows)
+    cut = split.chronological_cut(df)
+    assert (cut.id, cut.train_rows) == (7, 8)
+    train, test = split.chronological_split(df)
+    assert {r["production_id"] for r in train.collect()} == set(range(8))
+    assert {r["production_id"] for r in test.collect()} == {8, None}
+    with pytest.raises(ValueError):
+        split.chronological_cut(df, ratio=1.0)
+
+
 def test_split_reaches_the_scan(spark, folder):
     events = spark.read.parquet(f"{folder}/events.parquet")
     train, _ = split.chronological_split(events, "ts", "event_id")

@@ -72,13 +72,13 @@ def test_redelivery_in_one_and_in_later_batches(spark, tmp_path, spread):
 
 def test_routing_of_a_stream_equals_batch(spark, folder, tmp_path):
     from fablens.plans.live import vector_stream
-    from fablens.plans.risk import fixed_weights, plain_vectors
+    from fablens.plans.risk import fixed_weights, plain_vectors, width
 
     session = live.streaming_session(spark, 4)
     streamed = live.run_available(
-        live.stream_route_lots(vector_stream(session, folder), fixed_weights(), -2.2, 0.14), str(tmp_path / "o")
+        live.stream_route_lots(vector_stream(session, folder), fixed_weights(width(spark, folder)), -2.2, 0.14), str(tmp_path / "o")
     )
-    batch = live.stream_route_lots(plain_vectors(spark, folder), fixed_weights(), -2.2, 0.14)
+    batch = live.stream_route_lots(plain_vectors(spark, folder), fixed_weights(width(spark, folder)), -2.2, 0.14)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
