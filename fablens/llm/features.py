@@ -14,6 +14,8 @@ from fablens.sources.shared import materialize
 
 SHAPES = ["size", "words", "mean_word", "upper", "digits", "marks", "bars", "double_marks", "line_breaks", "repeats", "distinct"]
 
+LEAST_CHI = 15.0
+
 _UPPER, _DIGIT, _PUNCTUATION = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91] = True
 _DIGIT[48:58] = True
@@ -117,7 +119,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 def select_terms(sample: DataFrame, columns: list[str], per_label: int, least_share: float) -> Selection:
     """The terms that tell most about each label, by the chi-squared statistic over the sample's documents.
 
-    A term must occur in at least ``least_share`` of them, and in four.
+    A term must occur in at least ``least_share`` of them, and in four, and its statistic must reach
+    ``LEAST_CHI``: among many terms lower ones come about by chance.
     """
     total, *positive = sample.agg(F.count("*"), *[F.sum(c) for c in columns]).first()
     if not total:
@@ -145,7 +148,7 @@ def select_terms(sample: DataFrame, columns: list[str], per_label: int, least_sh
     for name, held in zip(names, positive):
         expected = F.col("n") * (held / total)
         chi = (F.col(name) - expected) ** 2 / F.greatest(expected * (1 - held / total), F.lit(1e-9))
-        best = counted.select("term", chi.alias("chi")).orderBy(F.col("chi").desc(), "term").limit(per_label)
+        best = counted.select("term", chi.alias("chi")).filter(F.col("chi") >= LEAST_CHI).orderBy(F.col("chi").desc(), "term").limit(per_label)
         found |= {r["term"] for r in best.collect()}
     return Selection(np.array(sorted(found), np.int64).view(np.uint64))
 
