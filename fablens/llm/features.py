@@ -71,10 +71,10 @@ class Chunk:
         return np.stack(columns, axis=1)
 
     def selected(self, selection: Selection) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (row, number of a selected term) pairs, and log2(1 + occurrences) of each."""
+        """Distinct (row, number of a selected term) pairs, and their weights: 1, 1.6, and 2 from three occurrences on."""
         at, number = selection.find(self.terms)
         key, counts = np.unique(self.row[at] * max(1, len(selection)) + number, return_counts=True)
-        return key // max(1, len(selection)), key % max(1, len(selection)), np.log2(1.0 + counts)
+        return key // max(1, len(selection)), key % max(1, len(selection)), np.minimum(np.log2(1.0 + counts), 2.0)
 
 
 class Selection:

@@ -25,7 +25,7 @@ SAMPLE = 20_000
 TERMS = 384
 LEAST_SHARE = 0.002
 FOLDS = 3
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 # Categories that the text's shape tells about; the others see terms only.
 SHAPED = ("junk",)
 LIMIT = 8.0
