@@ -106,7 +106,7 @@ class Search:
         """Vectors whose largest query coordinates fit the cosine, verified one by one."""
         unit = vectors / np.maximum(lengths, 1e-300)[:, None]
         fits = np.ones((len(active), len(ids)), bool)
-        for f in range(FOCUS):
+        for f in range(self.focus.shape[1]):
             at = self.focus[active, f]
             mid = self.units[active, at]
             width = np.sqrt(np.maximum(0, (1 - mid**2) * (1 - np.minimum(cosine, 1) ** 2))) + SLACK
@@ -149,7 +149,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K, query_block
             for key, vector in shared.value:
                 by_dim.setdefault(len(vector), []).append((key, vector))
             searches = {
-                dim: Search(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64).reshape(-1, dim), k)
+                dim: Search(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64).reshape(len(rows), dim), k)
                 for dim, rows in by_dim.items()
             }
             for batch in batches:
@@ -161,7 +161,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K, query_block
                     dim = int(dims[at])
                     end = min(at + BUCKET_ROWS, int(np.searchsorted(dims, dim, "right")))
                     if dim in searches:
-                        part = values[ends[at] - dim : ends[end - 1]].reshape(-1, dim)
+                        part = values[ends[at] - dim : ends[end - 1]].reshape(end - at, dim)
                         searches[dim].scan(ids[at:end], part, lengths[at:end])
                     at = end
             for search in searches.values():
