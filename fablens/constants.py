@@ -39,6 +39,16 @@ TIER_3_ACTION = "RELEASE: Nominal lot quality; fast-track to CMP / metallization
 GRID_FIRST = 2
 GRID_STEPS = 89
 
+# --- fixed values: column names of the daily series and its features ------------
+SERIES = ["total_runs", "defect_runs", "yield_rate_pct", "total_scrap_cost_gbp"]
+FEATURES = ["defect_runs_lag1", "defect_runs_lag7", "defect_runs_roll7_mean", "defect_runs_roll7_std", "day_of_week"]
+
+# --- fixed values: names of the candidate models ---------------------------------
+DUMMY = "Dummy (Majority)"
+LOGISTIC = "Logistic Regression (Cost-Sensitive)"
+FOREST = "Balanced Random Forest"
+BOOSTED = "Gradient Boosting (Class-Weighted)"
+
 # --- fixed values: recommended action per sensor ----------------------------------
 PLAYBOOK = [
     ("Attribute 60", "Chamber Plasma RF Matching - Inspect capacitor alignment and reflected power impedance"),

@@ -16,13 +16,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fablens import constants as K
 from fablens.sources.shared import literal_table
 
 SEED = 42
-DUMMY = "Dummy (Majority)"
-LOGISTIC = "Logistic Regression (Cost-Sensitive)"
-FOREST = "Balanced Random Forest"
-BOOSTED = "Gradient Boosting (Class-Weighted)"
+DUMMY, LOGISTIC, FOREST, BOOSTED = K.DUMMY, K.LOGISTIC, K.FOREST, K.BOOSTED
 
 
 def class_weights(train: DataFrame, y: str = "y") -> DataFrame:

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fablens import constants as K
 from fablens.functions import calendar as C
 
-SERIES = ["total_runs", "defect_runs", "yield_rate_pct", "total_scrap_cost_gbp"]
-FEATURES = ["defect_runs_lag1", "defect_runs_lag7", "defect_runs_roll7_mean", "defect_runs_roll7_std", "day_of_week"]
+SERIES, FEATURES = K.SERIES, K.FEATURES
 
 
 def _ordered(by: list[str]):

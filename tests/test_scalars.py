@@ -1,3 +1,5 @@
+"""Scalar rules. Published figures used as expectations are fixed values."""
+
 from datetime import date, datetime
 
 import pytest
