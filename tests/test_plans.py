@@ -43,3 +43,22 @@ def test_route_is_shuffle_free(spark, folder):
     assert "Exchange" not in plan_of(QUERIES["operational_alerts"](spark, folder))
     assert "Exchange" not in plan_of(QUERIES["score_lots"](spark, folder))
     assert "Exchange" not in plan_of(QUERIES["missing_row_gate"](spark, folder))
+
+
+def test_integrity_checks_read_each_table_once(spark, folder):
+    # Two star tables, both projections of the events, and the sensor arrays.
+    assert plan_of(QUERIES["integrity_checks"](spark, folder)).count("FileScan") == 3
+
+
+def test_set_difference_profiles_the_readings_once(spark, folder):
+    # The statistics are written; what is left reads their file, not the arrays.
+    assert "embedding" not in plan_of(QUERIES["candidate_set_difference"](spark, folder))
+
+
+def test_bucketed_star_join_moves_no_row(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["star_join_bucketed"](spark, folder))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
