@@ -201,7 +201,8 @@ def dedup_lines(
         for batch in batches:
             column, lines = batch.column(at), batch.column(len(kept))
             buffer, offsets = T.flat(column)
-            n_lines = T.row_sums(buffer == 0x0A, offsets) + 1
+            parts = [T.row_sums(data == 0x0A, ends) for _, _, data, ends in T.chunks(column)]
+            n_lines = np.concatenate([np.zeros(0, np.int64), *parts]) + 1
             dropped = np.zeros(batch.num_rows, np.int64)
             touched = pc.is_valid(lines).to_numpy(zero_copy_only=False)
             rows = np.flatnonzero(touched)

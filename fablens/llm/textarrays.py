@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _SEED = np.random.default_rng(20240917)
 # Random odd multiplier (3 mod 8, so that its powers have a long period) and its inverse modulo 2^64.
