@@ -388,7 +388,7 @@ def frequent_words(docs: DataFrame, text_col: str, words: int) -> list[bytes]:
     found = []
     if cut is not None:
         frequent = counted.filter(F.floor(F.log2("n") * 16).cast("int") >= cut)
-        found = sorted(bytes(r["word"]) for r in frequent.select("word").toLocalIterator())
+        found = sorted(bytes(r["word"]) for r in frequent.select("word").collect())
     discard(counted)
     return found
 

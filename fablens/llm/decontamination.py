@@ -228,8 +228,8 @@ def indexes(items: DataFrame, id_col: str, text_col: str, block_terms: int = IND
     for i in range(blocks):
         own = segments.filter(block == i)
         used = own.select(F.explode("terms").alias("term")).distinct()
-        df = {r["term"]: r["df"] for r in frequency.join(used, "term", "left_semi").toLocalIterator()}
-        rows = [(r["item"], r["segment"], r["terms"], r["question"]) for r in own.toLocalIterator()]
+        df = {r["term"]: r["df"] for r in frequency.join(used, "term", "left_semi").collect()}
+        rows = [(r["item"], r["segment"], r["terms"], r["question"]) for r in own.collect()]
         if rows:
             yield Index(rows, df, count, total / count)
 

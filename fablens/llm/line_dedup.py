@@ -122,7 +122,7 @@ def seen_twice_filter(docs: DataFrame, text_col: str, layout: Layout, min_chars:
     merged = marked.groupBy("slice").applyInPandas(merge, "slice int, bits binary")
     # Bounded by FILTER_BYTES, whatever the corpus.
     found = np.zeros((layout.slices, layout.folded_bits // 8), np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         found[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     return found
 

@@ -142,7 +142,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K, query_block
     ordered = ordered.sortWithinPartitions(F.col("dim"), F.col("length").desc())
     for block in range(blocks):
         own = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block) if blocks > 1 else queries
-        shared = spark.sparkContext.broadcast([(r["id"], r["vector"]) for r in own.toLocalIterator()])
+        shared = spark.sparkContext.broadcast([(r["id"], r["vector"]) for r in own.collect()])
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             by_dim: dict[int, list] = {}
