@@ -20,9 +20,18 @@ def _served_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(dir=spark.sparkContext._temp_dir)
 
 
+# Texts can be long: batches between the JVM and Python hold fewer rows than Spark's default of 10,000.
+BATCH_KEY, DEFAULT_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Add this package to the session's Python files, once: tasks then run without an installed copy."""
+    """Add this package to the session's Python files, once: tasks then run without an installed copy.
+
+    A session with Spark's default Arrow batch size gets smaller batches; another size that was set stays.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_KEY) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
     if getattr(context, "_fablens_shipped", False):
         return
     path = os.path.join(_served_folder(spark), f"fablens-{uuid.uuid4().hex[:8]}.zip")
