@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fablens.llm import textarrays as T
 from fablens.llm.shipping import local_path, ship_bytes
-from fablens.llm.token_counts import TOKENIZER, load_tokenizer, tokenizer_path
+from fablens.llm.token_counts import TOKENIZER, tokenizer_path
 from fablens.sources.shared import discard, materialize
 
 LEXICON_WORDS = 1 << 16
@@ -33,6 +33,15 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def pre_tokenizer(settings: dict):
+    """The library's pre-tokenizer from a file's settings; other kinds than byte-level ones raise."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    if settings["type"] != "ByteLevel":
+        raise ValueError(f"{settings['type']} is not a byte-level pre-tokenizer")
+    return ByteLevel(add_prefix_space=settings["add_prefix_space"], use_regex=settings["use_regex"])
+
+
 class Vocabulary:
     """Tables of a tokenizer file: ids of bytes, merges by hashed pair, and the bytes of every id."""
 
@@ -41,7 +50,8 @@ class Vocabulary:
             found = json.load(file)
         model, alphabet = found["model"], byte_alphabet()
         vocab = model["vocab"]
-        self.library = load_tokenizer(name)
+        # The library's pre-tokenizer alone: the whole tokenizer would stay in every worker's memory.
+        self.split = pre_tokenizer(found["pre_tokenizer"]).pre_tokenize_str
         self.specials = {t["content"]: t["id"] for t in found["added_tokens"]}
         self.byte_ids = np.zeros(256, np.int64)
         for char, byte in alphabet.items():
@@ -123,7 +133,7 @@ class Vocabulary:
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of whole pieces, special strings included, and how many each has."""
-        split, part_of, special, data = self.library.pre_tokenizer.pre_tokenize_str, [], [], []
+        split, part_of, special, data = self.split, [], [], []
         sizes: list[int] = []
         marks = [s.encode() for s in self.specials]
         for i, piece in enumerate(pieces):
