@@ -106,12 +106,16 @@ class Search:
         """Vectors whose largest query coordinates fit the cosine, verified one by one."""
         unit = vectors / np.maximum(lengths, 1e-300)[:, None]
         fits = np.ones((len(active), len(ids)), bool)
+        cosine = np.minimum(cosine, 1) - SLACK
         for f in range(self.focus.shape[1]):
             at = self.focus[active, f]
             mid = self.units[active, at]
-            width = np.sqrt(np.maximum(0, (1 - mid**2) * (1 - np.minimum(cosine, 1) ** 2))) + SLACK
+            width = np.sqrt(np.maximum(0, (1 - mid**2) * (1 - cosine**2))) + SLACK
+            # A cone that holds the axis itself reaches up to 1, or down to -1.
+            low = np.where(mid < -cosine + SLACK, -2, mid * cosine - width)
+            high = np.where(mid > cosine - SLACK, 2, mid * cosine + width)
             near = unit[:, at].T
-            fits &= (near >= (mid * cosine - width)[:, None]) & (near <= np.maximum(mid * cosine, mid) [:, None] + width[:, None])
+            fits &= (near >= low[:, None]) & (near <= high[:, None])
         query, row = np.nonzero(fits)
         scores = np.empty(len(query), np.int64)
         for a in range(0, len(query), 1 << 16):

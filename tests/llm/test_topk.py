@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from fablens.llm import topk
@@ -47,6 +48,31 @@ def test_equals_brute_force(spark, monkeypatch, bucket, spread):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("dim", [64, 12])
+def test_dominant_coordinates_in_several_buckets(spark, dim):
+    """Heavy tails at alike lengths: a query's great coordinate, of either sign, bounds a wide cone."""
+    r = np.random.default_rng(dim)
+    v = r.standard_t(1.2, (6000, dim))
+    v *= (r.uniform(0.95, 1, 6000) / np.sqrt((v**2).sum(1)))[:, None]
+    q = np.floor(256 * v).astype(np.int64)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id bigint, embedding array<double>").coalesce(1)
+    vectors = topk.integer_vectors(df, "vec_id", "embedding", 256).coalesce(1)
+    found = topk.top_products(vectors, vectors.filter("id % 10 = 0")).collect()
+    want = []
+    for i in range(0, 6000, 10):
+        scores = q @ q[i]
+        order = [int(j) for j in np.lexsort((np.arange(6000), -scores))[:6] if j != i][:5]
+        want += [(i, n + 1, j, int(scores[j])) for n, j in enumerate(order)]
+    assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in found) == want
+
+
+def test_cone_around_a_negative_axis():
+    search = topk.Search(np.array([9]), np.array([[-80, 60]]), 1)
+    search.least[:] = 100 * 100 * 0.5
+    pairs = search._by_coordinates(np.array([0]), np.array([0.5]), np.array([1]), np.array([[-100, 0]]), np.array([100.0]))
+    assert [x.tolist() for x in pairs] == [[0], [0], [8000]]
+
+
 def test_odd_rows(spark):
     zero, one = [0.0, 0.0], [1.0, -0.5]
     rows = [(0, one), (1, zero), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 0.0]), (None, one)]
