@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fablens.llm import textarrays as T
 from fablens.sources.shared import materialize
@@ -40,7 +41,10 @@ def terms(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``item``, ``segment``, ``terms`` (in order) and ``question`` (number of the item's question terms)."""
+    """``item``, ``source``, ``segment``, ``terms`` (in order) and ``question`` (number of question terms).
+
+    ``source`` is a digest of the row's text: rows that share an id, or have none, are items of their own.
+    """
     kind = items.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,16 +66,22 @@ def _segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     parts = -(-(b - a) // STRIDE)
                     size = -(-(b - a) // parts)
                     own = hashes[a:b].view(np.int64)
-                    item = batch.column(0)[at + i].as_py()
-                    rows += [(item, k, own[k * size : (k + 1) * size].tolist(), int(question)) for k in range(parts)]
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((batch.schema.field(0).type, pa.int32(), pa.list_(pa.int64()), pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["item", "segment", "terms", "question"])
+                    item, source = (batch.column(c)[at + i].as_py() for c in (0, 2))
+                    rows += [(item, source, k, own[k * size : (k + 1) * size].tolist(), int(question)) for k in range(parts)]
+            types = (batch.schema.field(0).type, pa.string(), pa.int32(), pa.list_(pa.int64()), pa.int64())
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, names=["item", "source", "segment", "terms", "question"])
 
-    return items.select(id_col, F.lower(text_col)).mapInArrow(cut, f"item {kind}, segment int, terms array<long>, question long")
+    texts = items.select(F.col(id_col).alias("item"), F.lower(text_col).alias("text")).distinct()
+    sources = texts.withColumn("source", F.sha2("text", 256))
+    return sources.mapInArrow(cut, f"item {kind}, source string, segment int, terms array<long>, question long")
 
 
 class Index:
-    """A block of items: postings by term in blocks of segments, their maxima, and the items' own shingles."""
+    """A block of items: postings by term in blocks of segments, their maxima, and the items' own shingles.
+
+    A row starts with its item's key, unique to one text; ``matches`` expects (id, source) there.
+    """
 
     def __init__(self, rows: list[tuple], frequency: dict[int, int], segments: int, mean: float):
         rows = sorted(rows, key=lambda r: len(r[2]))  # alike lengths have alike impacts
@@ -112,12 +122,12 @@ class Index:
         self.common_max = padded.reshape(-1, POSTING_BLOCK).max(axis=1) if len(rows) else padded
         whole: dict = {}
         for item, segment, own, question in sorted(rows, key=lambda r: r[1]):
-            whole.setdefault((item, question), []).append(np.array(own, np.int64).view(np.uint64))
+            whole.setdefault(item, (question, []))[1].append(np.array(own, np.int64).view(np.uint64))
         self.sides: dict = {}
-        for (item, question), parts in whole.items():
+        for item, (question, parts) in whole.items():
             own = np.concatenate(parts)
             sides = [(n, np.unique(_shingles(x, n))) for x in (own[:question], own[question:]) for n in [min(SHINGLE, len(x))]]
-            self.sides.setdefault(item, []).append((sides, len(own)))
+            self.sides[item] = sides, len(own)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each term in the index, or -1."""
@@ -174,11 +184,8 @@ class Index:
 
     def overlaps(self, item, near: np.ndarray) -> tuple[float, float] | None:
         """Shares of the item's question and answer shingles near the passage, if both suffice."""
-        for sides, _ in self.sides[item]:
-            shares = [float(np.isin(side, _shingles(near, n)).mean()) for n, side in sides]
-            if min(shares) >= OVERLAP:
-                return shares[0], shares[1]
-        return None
+        shares = [float(np.isin(side, _shingles(near, n)).mean()) for n, side in self.sides[item][0]]
+        return (shares[0], shares[1]) if min(shares) >= OVERLAP else None
 
     def matches(self, buffer: np.ndarray, offsets: np.ndarray) -> list[tuple]:
         """Confirmed leaks of a chunk: (row, item, score, question share, answer share)."""
@@ -203,12 +210,12 @@ class Index:
             start, item = int(firsts[own] + (found - base[own]) * STRIDE), self.items[segment]
             if out.get((own, item), (0.0,))[0] >= score:
                 continue
-            wide = max(n for _, n in self.sides[item])
+            wide = self.sides[item][1]
             near = hashes[max(firsts[own], start - wide) : min(firsts[own + 1], start + PASSAGE + wide)]
             shares = self.overlaps(item, near)
             if shares:
                 out[own, item] = (score, *shares)
-        return [(*k, *v) for k, v in out.items()]
+        return [(row, item[0], *v) for (row, item), v in out.items()]
 
 
 def _shingles(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -216,20 +223,20 @@ def _shingles(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def indexes(items: DataFrame, id_col: str, text_col: str, block_terms: int = INDEX_TERMS) -> Iterator[Index]:
-    """The index in blocks of whole items of about ``block_terms`` terms; statistics are those of all items."""
+    """The index in blocks of whole rows of about ``block_terms`` terms; statistics are those of all items."""
     segments = materialize(_segments(items, id_col, text_col), "segments")
     count, total = segments.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     if not count:
         return
     blocks = -(-total // block_terms)
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    block = F.pmod(F.xxhash64("item", "source"), F.lit(blocks))
     frequency = segments.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     frequency = materialize(frequency, "term-frequency")
     for i in range(blocks):
         own = segments.filter(block == i)
         used = own.select(F.explode("terms").alias("term")).distinct()
         df = {r["term"]: r["df"] for r in frequency.join(used, "term", "left_semi").collect()}
-        rows = [(r["item"], r["segment"], r["terms"], r["question"]) for r in own.collect()]
+        rows = [((r["item"], r["source"]), r["segment"], r["terms"], r["question"]) for r in own.collect()]
         if rows:
             yield Index(rows, df, count, total / count)
 
@@ -247,12 +254,13 @@ def find_leaks(
     Texts are lower-cased. A passage is ``PASSAGE`` terms, every ``STRIDE`` terms. An item is retrieved if a segment of it scores at least ``SCORE`` of its own
     total, and confirmed if at least ``OVERLAP`` of the term trigrams of its question and of its answer (split at ``?`` or a line feed,
     else in halves) occur near the passage. Items of fewer than ``MIN_TERMS`` terms can't be told from chance and
-    are not searched. Null and empty texts match nothing; a null id stays null; of rows that repeat an id the best
-    match of an item counts. Empty tables give no rows; other columns are not read.
+    are not searched. Null and empty texts match nothing; a null id stays null. Benchmark rows that share an id, or have none,
+    are searched one by one and reported under it; of rows that repeat an id the best match of an item counts. Empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc {kinds[0]}, item {kinds[1]}, score double, question_overlap double, answer_overlap double"
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     found = spark.createDataFrame([], schema)
     for index in indexes(benchmark, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(index)
@@ -263,8 +271,9 @@ def find_leaks(
                     rows = shared.value.matches(buffer, offsets)
                     if rows:
                         doc = batch.column(0).take(pa.array([at + r[0] for r in rows], pa.int64()))
-                        rest = [pa.array([r[k] for r in rows]) for k in range(1, 5)]
-                        yield pa.RecordBatch.from_arrays([doc, *rest], names=["doc", "item", "score", "question_overlap", "answer_overlap"])
+                        item = pa.array([r[1] for r in rows], item_type)
+                        rest = [pa.array([r[k] for r in rows]) for k in range(2, 5)]
+                        yield pa.RecordBatch.from_arrays([doc, item, *rest], names=["doc", "item", "score", "question_overlap", "answer_overlap"])
 
         found = found.unionByName(docs.select(id_col, F.lower(text_col)).mapInArrow(search, schema))
     best = found.groupBy("doc", "item").agg(F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best"))

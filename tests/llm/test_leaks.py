@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from fablens.llm import decontamination
 from tests.llm import brute
 
@@ -62,6 +64,25 @@ def test_empty_tables(documents, spark):
     assert decontamination.find_leaks(documents([(1, "x")]).limit(0), some).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_rows_that_share_an_id_or_have_none(documents, spark, kind):
+    """Equally long texts under one id are items of their own, and each is found."""
+    shared = "7" if kind == "string" else 7
+    texts = [[prose(n) for _ in range(2)] for n in (20, 120)]
+    for key in (shared, None):
+        for a, b in texts:
+            bench = spark.createDataFrame([(key, a), (key, b), (key, a)], f"item_id {kind}, text string")
+            docs = [(1, prose(30) + " " + a), (2, b + " " + prose(30)), (3, prose(200))]
+            found = decontamination.find_leaks(documents(docs), bench).collect()
+            assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, key), (2, key)]
+            assert all(min(r["question_overlap"], r["answer_overlap"]) == 1 for r in found)
+
+
+def test_blocks_deal_rows_without_an_id(spark):
+    bench = spark.createDataFrame([(None, prose(30)) for _ in range(40)], "item_id bigint, text string")
+    assert len(list(decontamination.indexes(bench, "item_id", "text", 200))) > 3
+
+
 def test_scores_equal_plain_bm25():
     """All segments above the threshold, and only those, with their full scores."""
     import numpy as np
