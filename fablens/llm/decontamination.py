@@ -34,15 +34,10 @@ COMMON_SHARE = 0.6
 INDEX_TERMS = 1 << 20
 
 
-def terms(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of runs of letters, digits and non-ASCII bytes, their starts, and each row's first."""
-    starts, _, firsts = T.words(buffer, offsets, T.MARK)
-    return T.word_hashes(buffer, starts, T.TERM_CODES), starts, firsts
-
-
 def _segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``item``, ``source``, ``segment``, ``terms`` (in order) and ``question`` (number of question terms).
+    """``item``, ``source``, ``segment``, ``terms``, ``tokens`` (both in order) and ``question`` (number of question terms).
 
+    An item of fewer than ``MIN_TERMS`` terms is one segment with 0 as ``question``.
     ``source`` is a digest of the row's text: rows that share an id, or have none, are items of their own.
     """
     kind = items.schema[id_col].dataType.simpleString()
@@ -51,13 +46,13 @@ def _segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             rows = []
             for at, _, buffer, offsets in T.chunks(batch.column(1)):
-                hashes, starts, firsts = terms(buffer, offsets)
+                tokens, hashes, starts, firsts = T.tokens(buffer, offsets)
                 for i, (a, b) in enumerate(zip(firsts[:-1], firsts[1:])):
-                    if b - a < MIN_TERMS:
+                    if a == b:
                         continue
-                    question = (b - a + 1) // 2
+                    question = (b - a + 1) // 2 if b - a >= MIN_TERMS else 0
                     text = buffer[offsets[i] : offsets[i + 1]]
-                    for mark in (b"?", b"\n"):
+                    for mark in (b"?", "\uff1f".encode(), b"\n") if question else ():
                         place = text.tobytes().find(mark)
                         before = int(np.searchsorted(starts[a:b], offsets[i] + place)) if place >= 0 else 0
                         if SHINGLE <= before <= b - a - SHINGLE:
@@ -65,29 +60,32 @@ def _segments(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                             break
                     parts = -(-(b - a) // STRIDE)
                     size = -(-(b - a) // parts)
-                    own = hashes[a:b].view(np.int64)
+                    own = [x[a:b].view(np.int64) for x in (hashes, tokens)]
                     item, source = (batch.column(c)[at + i].as_py() for c in (0, 2))
-                    rows += [(item, source, k, own[k * size : (k + 1) * size].tolist(), int(question)) for k in range(parts)]
-            types = (batch.schema.field(0).type, pa.string(), pa.int32(), pa.list_(pa.int64()), pa.int64())
+                    rows += [
+                        (item, source, k, *(x[k * size : (k + 1) * size].tolist() for x in own), int(question)) for k in range(parts)
+                    ]
+            types = (batch.schema.field(0).type, pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64())
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays(columns, names=["item", "source", "segment", "terms", "question"])
+            yield pa.RecordBatch.from_arrays(columns, names=["item", "source", "segment", "terms", "tokens", "question"])
 
     texts = items.select(F.col(id_col).alias("item"), F.lower(text_col).alias("text")).distinct()
     sources = texts.withColumn("source", F.sha2("text", 256))
-    return sources.mapInArrow(cut, f"item {kind}, source string, segment int, terms array<long>, question long")
+    return sources.mapInArrow(cut, f"item {kind}, source string, segment int, terms array<long>, tokens array<long>, question long")
 
 
 class Index:
     """A block of items: postings by term in blocks of segments, their maxima, and the items' own shingles.
 
-    A row starts with its item's key, unique to one text; ``matches`` expects (id, source) there.
+    A row starts with its item's key, unique to one text; ``matches`` expects (id, source) there. It may end in the
+    segment's tokens, where they are not its terms. ``short`` are (key, tokens) of items that are found by their whole sequence.
     """
 
-    def __init__(self, rows: list[tuple], frequency: dict[int, int], segments: int, mean: float):
+    def __init__(self, rows: list[tuple], frequency: dict[int, int], segments: int, mean: float, short: list[tuple] = ()):
         rows = sorted(rows, key=lambda r: len(r[2]))  # alike lengths have alike impacts
         self.items = [r[0] for r in rows]
         impact: dict[int, list] = {}
-        for i, (_, _, own, _) in enumerate(rows):
+        for i, (_, _, own, *_) in enumerate(rows):
             found, counts = np.unique(np.array(own, np.int64).view(np.uint64), return_counts=True)
             df = np.array([frequency[int(t)] for t in found.view(np.int64)], np.float64)
             weight = np.log1p((segments - df + 0.5) / (df + 0.5)) * counts * (K1 + 1)
@@ -121,13 +119,18 @@ class Index:
         padded = np.append(held, np.zeros(self.blocks * POSTING_BLOCK - len(rows)))
         self.common_max = padded.reshape(-1, POSTING_BLOCK).max(axis=1) if len(rows) else padded
         whole: dict = {}
-        for item, segment, own, question in sorted(rows, key=lambda r: r[1]):
-            whole.setdefault(item, (question, []))[1].append(np.array(own, np.int64).view(np.uint64))
+        for item, _, own, question, *tokens in sorted(rows, key=lambda r: r[1]):
+            whole.setdefault(item, (question, []))[1].append(np.array(tokens[0] if tokens else own, np.int64).view(np.uint64))
         self.sides: dict = {}
         for item, (question, parts) in whole.items():
             own = np.concatenate(parts)
             sides = [(n, np.unique(_shingles(x, n))) for x in (own[:question], own[question:]) for n in [min(SHINGLE, len(x))]]
             self.sides[item] = sides, len(own)
+        sequences: dict[int, dict[int, list]] = {}
+        for item, own in short:
+            key = int(_shingles(np.array(own, np.int64).view(np.uint64), len(own))[0])
+            sequences.setdefault(len(own), {}).setdefault(key, []).append(item)
+        self.short = [(n, np.array(sorted(keys), np.uint64), [keys[k] for k in sorted(keys)]) for n, keys in sequences.items()]
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each term in the index, or -1."""
@@ -187,11 +190,25 @@ class Index:
         shares = [float(np.isin(side, _shingles(near, n)).mean()) for n, side in self.sides[item][0]]
         return (shares[0], shares[1]) if min(shares) >= OVERLAP else None
 
+    def sequences(self, tokens: np.ndarray, firsts: np.ndarray) -> dict:
+        """(row, item) of the short items whose tokens occur one after the other."""
+        out: dict = {}
+        for n, keys, items in self.short:
+            found, first = T.shingle_hashes(tokens, firsts, n)
+            at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+            hits = np.flatnonzero(keys[at] == found)
+            row = np.searchsorted(first, hits, "right") - 1
+            for pair in np.unique(row * len(keys) + at[hits]).tolist():
+                for item in items[pair % len(keys)]:
+                    out[pair // len(keys), item] = (1.0, 1.0, 1.0)
+        return out
+
     def matches(self, buffer: np.ndarray, offsets: np.ndarray) -> list[tuple]:
         """Confirmed leaks of a chunk: (row, item, score, question share, answer share)."""
-        hashes, _, firsts = terms(buffer, offsets)
+        tokens, hashes, _, firsts = T.tokens(buffer, offsets)
+        out = self.sequences(tokens, firsts)
         if not len(hashes) or not len(self.terms):
-            return []
+            return [(row, item[0], 1.0, 1.0, 1.0) for row, item in out]
         number = self.find(hashes)
         hits = np.flatnonzero(number >= 0)
         row = np.searchsorted(firsts, hits, "right") - 1
@@ -204,14 +221,13 @@ class Index:
         where = np.concatenate([h[a & b] for _, h, a, b in both])
         pairs = np.sort(passage * len(self.terms) + number[where])
         pairs = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
-        out: dict = {}
         for found, segment, score in zip(*(x.tolist() for x in self.search(pairs // len(self.terms), pairs % len(self.terms)))):
             own = int(np.searchsorted(base, found, "right")) - 1
             start, item = int(firsts[own] + (found - base[own]) * STRIDE), self.items[segment]
             if out.get((own, item), (0.0,))[0] >= score:
                 continue
             wide = self.sides[item][1]
-            near = hashes[max(firsts[own], start - wide) : min(firsts[own + 1], start + PASSAGE + wide)]
+            near = tokens[max(firsts[own], start - wide) : min(firsts[own + 1], start + PASSAGE + wide)]
             shares = self.overlaps(item, near)
             if shares:
                 out[own, item] = (score, *shares)
@@ -225,20 +241,23 @@ def _shingles(hashes: np.ndarray, n: int) -> np.ndarray:
 def indexes(items: DataFrame, id_col: str, text_col: str, block_terms: int = INDEX_TERMS) -> Iterator[Index]:
     """The index in blocks of whole rows of about ``block_terms`` terms; statistics are those of all items."""
     segments = materialize(_segments(items, id_col, text_col), "segments")
-    count, total = segments.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
-    if not count:
+    long = F.col("question") > 0
+    size = lambda rows: F.coalesce(F.sum(F.when(rows, F.size("terms"))), F.lit(0))
+    count, total, whole = segments.agg(F.count(F.when(long, 1)), size(long), size(F.lit(True))).first()
+    if not whole:
         return
-    blocks = -(-total // block_terms)
+    blocks = -(-whole // block_terms)
     block = F.pmod(F.xxhash64("item", "source"), F.lit(blocks))
-    frequency = segments.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    frequency = segments.filter(long).select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     frequency = materialize(frequency, "term-frequency")
     for i in range(blocks):
         own = segments.filter(block == i)
         used = own.select(F.explode("terms").alias("term")).distinct()
         df = {r["term"]: r["df"] for r in frequency.join(used, "term", "left_semi").collect()}
-        rows = [((r["item"], r["source"]), r["segment"], r["terms"], r["question"]) for r in own.collect()]
-        if rows:
-            yield Index(rows, df, count, total / count)
+        found = [((r["item"], r["source"]), r["segment"], r["terms"], r["question"], r["tokens"]) for r in own.collect()]
+        rows, short = [r for r in found if r[3]], [(r[0], r[4]) for r in found if not r[3]]
+        if found:
+            yield Index(rows, df, count, total / max(1, count), short)
 
 
 def find_leaks(
@@ -252,9 +271,10 @@ def find_leaks(
     """``id``, ``item``, ``score``, ``question_overlap`` and ``answer_overlap`` of every confirmed leak.
 
     Texts are lower-cased. A passage is ``PASSAGE`` terms, every ``STRIDE`` terms. An item is retrieved if a segment of it scores at least ``SCORE`` of its own
-    total, and confirmed if at least ``OVERLAP`` of the term trigrams of its question and of its answer (split at ``?`` or a line feed,
-    else in halves) occur near the passage. Items of fewer than ``MIN_TERMS`` terms can't be told from chance and
-    are not searched. Null and empty texts match nothing; a null id stays null. Benchmark rows that share an id, or have none,
+    total, and confirmed if at least ``OVERLAP`` of the term trigrams of its question and of its answer (split at a question mark or a line feed,
+    else in halves) occur near the passage. Items of fewer than ``MIN_TERMS`` terms are confirmed by their whole
+    sequence of terms, with 1 for all three figures: an item of one word matches every text that holds the word. A character of a
+    script without spaces is a term of its own, retrieved in pairs. Null and empty texts match nothing; a null id stays null. Benchmark rows that share an id, or have none,
     are searched one by one and reported under it; of rows that repeat an id the best match of an item counts. Empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession

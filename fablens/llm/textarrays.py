@@ -30,6 +30,18 @@ WORD_CODES = np.where(SPACE, np.uint64(0), _CODES)[LOWER]
 MARK = np.zeros(256, bool)
 MARK[:128] = [not chr(b).isalnum() for b in range(128)]
 TERM_CODES = np.where(MARK, np.uint64(0), _CODES)[LOWER]
+# First and last characters of scripts written without spaces, then of punctuation beyond ASCII.
+_UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FF), (0x3105, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+]
+_PUNCTUATION = [
+    (0x2010, 0x2027), (0x2030, 0x205E), (0x3000, 0x3003), (0x3008, 0x3011), (0x3013, 0x301F), (0x3030, 0x3030), (0x303D, 0x303D),
+    (0x30A0, 0x30A0), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+]
+# Bytes that such a character can begin with.
+_LEADS = np.zeros(256, bool)
+_LEADS[sorted({chr(c).encode()[0] for a, b in _UNSPACED + _PUNCTUATION for c in (*range(a, b, 64), b)})] = True
 # Bits: space or line feed, visible ASCII, mark, ASCII letter.
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x0A]] = 1
@@ -98,6 +110,53 @@ def words(
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _within(codes: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    """Whether each code lies in one of the ranges (disjoint); a character's range may hold smaller ones of other kinds."""
+    edges = np.array(sorted(ranges)).ravel() + np.tile([0, 1], len(ranges))
+    return np.searchsorted(edges, codes, "right") % 2 == 1
+
+
+def tokens(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of tokens and of search terms, their starts, and each row's first.
+
+    A token is a run of letters, digits and non-ASCII bytes without punctuation, or one character of a script
+    without spaces. Its search term is the token, or with such a character right behind it the pair of both.
+    """
+    lead = np.flatnonzero(_LEADS[buffer])
+    lead = lead[lead < len(buffer) - 2]
+    if not len(lead):
+        starts, _, firsts = words(buffer, offsets, MARK)
+        hashes = word_hashes(buffer, starts, TERM_CODES)
+        return hashes, hashes, starts, firsts
+    size = np.where(buffer[lead] >= 0xF0, 4, 3)
+    own = lead + size <= len(buffer)
+    lead, size = lead[own], size[own]
+    low = [(buffer[np.minimum(lead + k, len(buffer) - 1)] & 0x3F).astype(np.int64) for k in range(4)]
+    first = buffer[lead].astype(np.int64)
+    three = (first & 15) << 12 | low[1] << 6 | low[2]
+    codes = np.where(size == 4, (first & 7) << 18 | low[1] << 12 | low[2] << 6 | low[3], three)
+    mark = _within(codes, _PUNCTUATION)
+    single = _within(codes, _UNSPACED) & ~mark
+    full = ~MARK[buffer]
+    full[gather(lead[mark], size[mark])] = False
+    edge = np.zeros(len(buffer) + 1, bool)
+    edge[offsets] = True
+    lead, size = lead[single], size[single]
+    cut = edge.copy()
+    cut[lead] = cut[lead + size] = True
+    begins = full.copy()
+    begins[1:] &= ~full[:-1] | cut[1 : len(buffer)]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return (none := np.zeros(0, np.uint64)), none, starts, np.searchsorted(starts, offsets)
+    hashes = _sums(np.where(full, TERM_CODES[buffer], np.uint64(0)), starts)
+    pair = (lead[:-1] + size[:-1] == lead[1:]) & ~edge[lead[1:]]
+    at = np.searchsorted(starts, lead[:-1][pair])
+    terms = hashes.copy()
+    terms[at] = mix(hashes[at] * np.uint64(0xA24BAED4963EE407) + hashes[at + 1])
+    return hashes, terms, starts, np.searchsorted(starts, offsets)
+
+
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(values * _table("up", len(values)), starts) * _table("down", int(starts[-1]) + 1)[starts])
 

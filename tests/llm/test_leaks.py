@@ -83,6 +83,40 @@ def test_blocks_deal_rows_without_an_id(spark):
     assert len(list(decontamination.indexes(bench, "item_id", "text", 200))) > 3
 
 
+def test_short_items_and_scripts_without_spaces(documents, spark):
+    han = "".join(chr(0x4E00 + 37 * k % 20000) for k in range(150))
+    items = {
+        1: "What is six times seven? 42",
+        2: "Capital? Paris",
+        3: "\u6c34\u7684\u6cb8\u70b9\u662f\u591a\u5c11\uff1f\u4e00\u767e\u5ea6",
+        4: "\u5317\u4eac",
+        5: han,
+        6: "\u0e20\u0e32\u0e29\u0e32\u0e44\u0e17\u0e22",
+        7: "\u3002\uff01",
+        8: "\U00020000\U00020001\U00020002",
+    }
+    docs = [
+        (1, prose(40) + " what is SIX times seven 42 " + prose(40)),
+        (2, prose(40) + ". Capital: paris! " + prose(40)),
+        (3, "\u6211\u95ee" + items[3] + "\u5de6\u53f3\uff0c" + prose(9)),
+        (4, "\u5728\u5317\u4eac\u8bfb\u4e66"),
+        (5, prose(60) + han[100:] + " " + "x" + han + "y"),
+        (6, "abc\u0e04" + items[6] + "\u0e04"),
+        (7, "capital of paris, \u5317\u3002\u4eac \u5317 \u4eac \u4eac\u5317 \U00020000\U00020001"),
+        (8, "\u4e00" + items[8] + "z"),
+        (9, han[:60]),
+        (10, "Capital"),
+        (11, "Paris is the capital"),
+    ]
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    found = decontamination.find_leaks(documents(docs), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (7, 4), (8, 8)]
+    few = bench.filter("item_id in (2, 4, 7)")
+    found = decontamination.find_leaks(documents(docs), few).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(2, 2), (4, 4), (7, 4)]
+    assert all(r["score"] == r["question_overlap"] == r["answer_overlap"] == 1 for r in found)
+
+
 def test_scores_equal_plain_bm25():
     """All segments above the threshold, and only those, with their full scores."""
     import numpy as np
