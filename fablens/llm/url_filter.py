@@ -24,6 +24,10 @@ RULES = [
 # Hosts that send visitors on to the bare host, and query parameters that do not change the page.
 MIRRORS = ("www", "m")
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "ref")
+# Named character references that stand in addresses; the ampersand is decoded last.
+REFERENCES = {"sol": "/", "quest": "?", "equals": "=", "colon": ":", "num": "#", "period": ".", "quot": '"', "apos": "'"}
+# The address in a refresh tag's content: after the delay, with or without "url=", quoted or bare.
+REFRESH = r"""(?i)^[\s\d.]*(?:[;,]\s*(?:url\s*=\s*)?|url\s*=\s*)["']?([^"'\s]+)"""
 
 
 def url_host(url: Column) -> Column:
@@ -58,30 +62,94 @@ def landing_url(url: Column) -> Column:
     return F.concat(F.lit("https://"), host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
 
+def _decoded(text: Column) -> Column:
+    """Character references decoded, once."""
+
+    def number(held: Column, reference: Column) -> Column:
+        digits = F.regexp_extract(reference, "([0-9A-Fa-f]+);", 1)
+        code = F.when(F.lower(reference).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        known = code.between(0x21, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(code == 38, F.replace(held, reference, F.lit("&amp;"))).when(known, F.replace(held, reference, character)).otherwise(held)
+
+    numbers = F.regexp_extract_all(text, F.lit("(&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});)"), F.lit(1))
+    out = F.aggregate(F.array_distinct(numbers), text, number)
+    for name, mark in REFERENCES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(mark))
+    return F.regexp_replace(out, "(?i)&amp;", "&")
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that starts with a slash, its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/", -1)
+    parts = F.slice(parts, 2, F.size(parts) - 1)
+    plain = lambda p: F.regexp_replace(p, "(?i)%2e", ".")
+    up = lambda held: F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda held, p: F.when(plain(p) == "..", up(held)).when(plain(p) == ".", held).otherwise(F.concat(held, F.array(p))),
+    )
+    ended = F.when(plain(F.element_at(parts, -1)).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), ended)
+
+
 def _target(url: Column, found: Column) -> Column:
-    """A link's absolute address; null where there is none."""
+    """A link's absolute address, resolved against the page's; null where it names no page with a host."""
     scheme = F.regexp_extract(url, r"^([^:/?#]*)://", 1)
-    rooted = F.concat(scheme, F.lit("://"), url_host(url), found)
+    site = F.concat(scheme, F.lit("://"), url_host(url))
+    here = url_path(url)
+    here = F.when(here == "", F.lit("/")).otherwise(here)
+    path = F.regexp_extract(found, r"^([^?#]*)", 1)
+    rest = F.regexp_extract(found, r"^[^?#]*(.*)$", 1)
+    asked = F.regexp_extract(url, r"^[^#?]*(\?[^#]*)", 1)
+    folder = F.regexp_extract(here, r"^(.*/)", 1)
     return (
         F.when(found.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), found)
         .when(found.startswith("//"), F.concat(scheme, F.lit(":"), found))
-        .when(found.startswith("/"), rooted)
+        .when(found.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(found.startswith("/"), F.concat(site, _without_dots(path), rest))
+        .when(found.startswith("?"), F.concat(site, here, found))
+        .when(found.startswith("#"), F.concat(site, here, asked, found))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, path)), rest))
     )
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute, quoted or bare, character references decoded; empty where there is none."""
+    value = """"[^"]*+"|'[^']*+'|[^\\s"'>]++"""
+    # Other attributes are passed over whole, so that a name inside a value does not count.
+    other = rf"""(?>[^\s"'>/=]+(?:\s*=\s*(?:{value}))?|[\s/"'=]+)*?"""
+    found = F.regexp_extract(tag, rf"(?i)^<[a-z]+[\s/]+{other}(?<![^\s/\"']){name}\s*=\s*({value})", 1)
+    return _decoded(F.trim(F.regexp_replace(found, """^["']|["']$""", "")))
+
+
+def _tags(html: Column, name: str) -> Column:
+    """All tags of a name; a quoted value may hold ``>``."""
+    return F.regexp_extract_all(html, F.lit(rf"""(?i)(<{name}[\s/](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>)"""), F.lit(1))
+
+
+def _links(html: Column) -> list[Column]:
+    """Targets of a page's first canonical link and first refresh tag, in whatever order their attributes stand; null or empty without."""
+    canonical = F.filter(_tags(html, "link"), lambda t: _attribute(t, "rel").rlike(r"(?i)(?:^|\s)canonical(?:\s|$)") & (_attribute(t, "href") != ""))
+    refresh = F.filter(_tags(html, "meta"), lambda t: F.lower(_attribute(t, "http-equiv")) == "refresh")
+    named = F.transform(refresh, lambda t: F.trim(F.regexp_extract(_attribute(t, "content"), REFRESH, 1)))
+    return [_attribute(F.get(canonical, 0), "href"), F.get(F.filter(named, lambda u: u != ""), 0)]
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Edges between addresses of one page: its landing address, canonical link and refresh target."""
-    url, html = F.col(url_col), F.coalesce(F.col(html_col), F.lit(""))
-    link = F.regexp_extract(html, r"(?i)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    canonical = F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    refresh = F.regexp_extract(
-        html, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)", 1
-    )
-    landing = landing_url(url)
-    named = [F.when(f != "", landing_url(_target(url, f))) for f in (canonical, refresh)]
-    pages = pages.filter(url.contains("://"))
+    url, html = F.col("url"), F.col("html")
+    pages = pages.select(F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html")).filter(url.contains("://"))
+    links = [F.when(html.rlike(f"(?i){word}"), link) for word, link in zip(("canonical", "refresh"), _links(html))]
+    base = F.when(html.rlike(r"(?i)<base\s") & html.rlike("(?i)canonical|refresh"), _attribute(F.get(_tags(html, "base"), 0), "href"))
+    found = pages.select(url, landing_url(url).alias("landing"), links[0].alias("canonical"), links[1].alias("refresh"), base.alias("base"))
+    found = found.withColumn("base", F.coalesce(F.when(F.col("base") != "", _target(url, F.col("base"))), url))
+    targets = [F.when(F.col(c) != "", _target(F.col("base"), F.col(c))).alias(c) for c in ("canonical", "refresh")]
+    found = found.select("url", "landing", *targets)
+    landing, named = F.col("landing"), [F.when(F.col(c).isNotNull(), landing_url(F.col(c))) for c in ("canonical", "refresh")]
     ends = F.array(F.struct(url.alias("a"), landing.alias("b")), *[F.struct(landing.alias("a"), n.alias("b")) for n in named])
-    return pages.select(F.inline(ends)).filter(F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
+    return found.select(F.inline(ends)).filter(F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
 
 
 def judge_urls(

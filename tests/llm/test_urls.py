@@ -61,5 +61,35 @@ def test_blocks_reach_aliases_and_allows_come_first(spark):
     assert judge(spark, rows, edges=edges)[7]["verdict"] == "block"
 
 
+LINKS = [
+    # (page, html, address its landing address is linked to)
+    ("http://a.com/de/x/y.html", '<link rel="canonical" href="index2.html">', "https://a.com/de/x/index2"),
+    ("http://a.com/p/x/y", "<link rel=canonical href='../z'>", "https://a.com/p/z"),
+    ("http://a.com/p/x/y", '<link href="../../../q/./r/../s" rel="nofollow canonical">', "https://a.com/q/s"),
+    ("http://a.com/p/x?id=1", '<link rel="canonical" href="?id=3">', "https://a.com/p/x?id=3"),
+    ("http://a.com/p", '<link rel="canonical" href="/l?b=2&amp;a=1&#38;c=&#x33;">', "https://a.com/l?a=1&b=2&c=3"),
+    ("http://a.com/p", '<LINK title="a > b" data-href="/no" REL=Canonical HREF = /yes>', "https://a.com/yes"),
+    ("http://a.com/p", '<meta content="0; URL=r/s" http-equiv="refresh">', "https://a.com/r/s"),
+    ("http://a.com/p/", """<meta http-equiv='Refresh' content="5;url='t'">""", "https://a.com/p/t"),
+    ("http://a.com/p", '<meta http-equiv=refresh content="0; //b.net/t">', "https://b.net/t"),
+    ("http://a.com", '<base href="/d/e/"><meta content="3,url=f" http-equiv="refresh">', "https://a.com/d/e/f"),
+    ("http://a.com/p", '<link rel="canonical" href="mailto:x@y.z"><meta http-equiv="refresh" content="30">', None),
+    ("http://a.com/p", '<link rel="canonicals" href="/x"><meta name="refresh" content="0; url=/x">', None),
+    ("http://a.com/p", "<link title=it's rel=canonical href=z><p title='x'>", "https://a.com/z"),
+]
+
+
+def test_targets_of_every_form(spark):
+    cases = [(p.replace("a.com", f"a{k}.com"), h, t and t.replace("a.com", f"a{k}.com")) for k, (p, h, t) in enumerate(LINKS)]
+    df = spark.createDataFrame([(k, p, "<html>" + h + "x" * 9, "c", "c") for k, (p, h, _) in enumerate(cases)], PAGES)
+    edges = {(r["a"], r["b"]) for r in url_filter.alias_edges(df).collect() if r["a"].startswith("https:")}
+    assert edges == {(p.replace("http:", "https:").removesuffix(".html").removesuffix("/"), t) for p, _, t in cases if t}
+
+
+def test_blocks_reach_pages_over_relative_links(spark):
+    link = '<link rel="canonical" href="../de/1">'
+    assert judge(spark, [(1, "http://b.com/x/y", link), (2, "http://b.com/x/y/", None)])[2]["verdict"] == "block"
+
+
 def test_empty_table(spark):
     assert judge(spark, []) == {}
