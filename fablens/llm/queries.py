@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fablens.llm import bpe, decontamination, line_dedup, near_dedup, quality, sharding, token_counts, topk, toxicity, url_filter
+from fablens.llm import (
+    alignment,
+    bpe,
+    decontamination,
+    gnat,
+    line_dedup,
+    near_dedup,
+    quality,
+    sharding,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+    vp_tree,
+)
 from fablens.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +221,60 @@ def op2_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_quality_bayes")
 def op9_quality_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+VALID_SQL = """embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+# Exact search. The registered factor prunes nothing that counts on vectors without clusters, such as the given ones; see the README.
+OP11_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE {VALID_SQL} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         list_reduce(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]), lambda x, y: x + y) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op11_vantage_point_trees", OP11_SQL)
+def op11_vantage_point_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return vp_tree.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP12_SQL = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % {gnat.LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE label IS NOT NULL AND {VALID_SQL}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, alike ORDER BY score DESC, vec_id) AS place FROM scored),
+positives AS (SELECT * FROM ordered WHERE alike AND place <= {gnat.POSITIVES}),
+found AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN ordered n ON n.anchor_id = p.anchor_id AND NOT n.alike
+    AND {gnat.LOW} * p.score <= 100 * n.score AND 100 * n.score <= {gnat.HIGH} * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM found WHERE rank <= {gnat.NEGATIVES}
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % gnat.LABELS).otherwise(F.col("label"))
+    return gnat.hard_negatives(gnat.labelled_vectors(rows.withColumn("label", label)), F.col("id") % 50 == 0)
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.cross_alignment(table(spark, folder, "documents"))
