@@ -21,6 +21,12 @@ REASON_MISSING = "HIGH_MISSING_RATE_GT_50_PCT"
 REASON_CONSTANT = "ZERO_VARIANCE_CONSTANT_FEATURE"
 REASON_NONE = "NONE"
 
+# --- fixed values: texts that stand for a missing reading ---------------------
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # --- fixed values: shifts -----------------------------------------------------
 DAY_SHIFT = "DAY_SHIFT"
 EVENING_SHIFT = "EVENING_SHIFT"

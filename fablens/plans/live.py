@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from fablens import constants as K
 from fablens.plans import checks as Q
 from fablens.plans.profiles import GATE_CHECK, gate_candidates
 from fablens.plans.registry import query
 from fablens.plans.risk import GAPPY_ALERTS, fixed_weights, gappy_rules, width
+from fablens.schema import ALERTS
 from fablens.sources import bindings as B
 from fablens.sources.shared import new_path
-from fablens.streaming import live
+from fablens.streaming import ledger, live, outcomes
 
 
 def _replay(spark, stream, label):
@@ -97,3 +100,68 @@ def stream_route_gappy_units(spark, folder):
     session = live.streaming_session(spark)
     stream = vector_stream(session, folder, masked=True, gappy=True)
     return _replay(spark, live.stream_route_lots(stream, *gappy_rules(session, folder)), "stream-gappy-alerts")
+
+
+def outcome_stream(session, folder):
+    """Four units of five get their outcome, up to 71 hours later."""
+    events = table_stream(session, folder, "events").where("event_id % 5 <> 0")
+    units = B.units(events)
+    late = (F.col("event_ts") + F.make_dt_interval(hours=(F.col("production_id") % 72).cast("int"))).cast("timestamp")
+    return units.select("production_id", late.alias("outcome_ts"), "raw_label")
+
+
+@query(
+    "stream_attach_outcomes",
+    f"""WITH {Q.UNITS}, outcomes AS (
+          SELECT production_id, event_ts + (production_id % 72) * INTERVAL 1 HOUR AS outcome_ts, raw_label FROM units WHERE production_id % 5 <> 0),
+        joined AS (
+          SELECT u.production_id, u.event_ts, u.tool, o.raw_label FROM units u LEFT JOIN outcomes o
+          ON o.production_id = u.production_id AND o.outcome_ts BETWEEN u.event_ts AND u.event_ts + INTERVAL 48 HOUR)
+        SELECT production_id, tool, raw_label FROM joined
+        WHERE raw_label IS NOT NULL OR event_ts < (SELECT max(event_ts) FROM units) - INTERVAL 49 HOUR""",
+)
+def stream_attach_outcomes(spark, folder):
+    """Units meet outcomes that arrive later; those without one come out once their 48 hours have passed."""
+    session = live.streaming_session(spark)
+    units = event_stream(session, folder).drop("raw_label")
+    joined = outcomes.stream_attach_outcomes(units, outcome_stream(session, folder))
+    return _replay(spark, joined.select("production_id", "tool", "raw_label"), "stream-outcomes")
+
+
+def alerts_once(spark, folder):
+    """Scored units as a stream of four files, each batch delivered twice; returns the folder of the tables."""
+    events = B.table(spark, folder, "events")
+    path, out = new_path(spark, "event-files"), new_path(spark, "alerts-once")
+    events.repartition(4, "event_id").write.parquet(path)
+    session = live.streaming_session(spark)
+    scored = B.scored_units(live.open_stream(session, path, schema=events.schema, maxFilesPerTrigger=1))
+    tables = outcomes.alert_tables(0.14)
+
+    def twice(batch, batch_id):
+        ledger.write_batch(batch, batch_id, out, tables)
+        ledger.write_batch(batch, batch_id, out, tables)
+
+    writer = scored.writeStream.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True)
+    writer.foreachBatch(twice).start().awaitTermination()
+    return out
+
+
+@query("stream_alerts_exactly_once", f"WITH {Q.ALERTS} SELECT * FROM alerts")
+def stream_alerts_exactly_once(spark, folder):
+    """Batches that are delivered again leave every alert once."""
+    return ledger.read_committed(spark, alerts_once(spark, folder), "alerts", ALERTS).drop("batch")
+
+
+@query(
+    "stream_alert_audit",
+    f"""WITH {Q.ROUTED} SELECT risk_tier, CAST(count(*) AS BIGINT) AS lots, CAST(count(*) FILTER (WHERE y = 1) AS BIGINT) AS defects,
+        round(max(p) * 100, 2) AS highest_risk_pct, TRUE AS entered FROM routed GROUP BY risk_tier""",
+)
+def stream_alert_audit(spark, folder):
+    """The audit lines of all batches add up to the lots, and the ledger holds as many rows as were written."""
+    out = alerts_once(spark, folder)
+    audit = ledger.read_committed(spark, out, "audit", outcomes.AUDIT)
+    entered = ledger.ledger(spark, out).where("`table` = 'alerts'").agg(F.sum("rows")).scalar()
+    total = audit.agg(F.sum("lots")).scalar()
+    sums = audit.groupBy("risk_tier").agg(F.sum("lots").alias("lots"), F.sum("defects").alias("defects"), F.max("highest_risk_pct").alias("highest_risk_pct"))
+    return sums.withColumn("entered", entered == total)
