@@ -20,9 +20,10 @@ INSIDE = 1 - 1e-9
 
 
 def digamma(n: Column) -> Column:
-    """The digamma function of a positive whole number, to about 1e-15."""
+    """The digamma function of a positive whole number, to about 1e-12."""
     x = n.cast("double") + 10
-    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * x * x * x * x) - 1 / (252 * x * x * x * x * x * x)
+    square = x * x
+    series = F.log(x) - 1 / (2 * x) - (1 / 12 - (1 / 120 - (1 / 252 - 1 / (240 * square)) / square) / square) / square
     for i in range(10):
         series = series - 1 / (n + F.lit(float(i)))
     return series
