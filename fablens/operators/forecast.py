@@ -7,6 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fablens import constants as K
 from fablens.operators import series
@@ -81,3 +82,32 @@ def forecast_bounds(
         F.greatest(F.col("predicted") - half, F.lit(0.0)).alias("lower"),
         (F.col("predicted") + half).alias("upper"),
     )
+
+
+def conformal_bounds(calibration: DataFrame, predicted: DataFrame, miss: float = 0.05, by: list[str] | None = None) -> DataFrame:
+    """Prediction -/+ a ranked calibration error, floored at 0: the ceil((n + 1)(1 - miss))-th smallest of n absolute errors.
+
+    A new day like the calibration days lies outside with probability ``miss`` at most, whatever the errors' distribution. With too few
+    calibration days for that (n < 1 / miss - 1) there are no finite bounds, and both are NULL. The ordered window runs over days of one series.
+    """
+    by = by or []
+    known = calibration.where(F.col("predicted").isNotNull() & F.col("defect_runs").isNotNull())
+    errors = known.select(*by, F.abs(F.col("defect_runs") - F.col("predicted")).alias("_error"))
+    series_of = Window.partitionBy(*by)
+    rank = F.ceil(F.round((F.count("*").over(series_of) + 1) * (1 - miss), 9))
+    ranked = errors.withColumns({"_rank": rank, "_at": F.row_number().over(series_of.orderBy("_error"))})
+    half = F.min(F.when(F.col("_at") == F.col("_rank"), F.col("_error"))).alias("half_width")
+    widths = ranked.groupBy(*by).agg(half, F.count("*").alias("calibration_days"))
+    if by:
+        widened = predicted.join(widths, by, "left")
+    else:
+        packed = widths.select(F.struct("half_width", "calibration_days")).scalar()
+        widened = predicted.withColumn("_w", packed).select("*", "_w.half_width", "_w.calibration_days")
+    return widened.select(
+        *by,
+        "run_date",
+        "predicted",
+        F.coalesce("calibration_days", F.lit(0)).alias("calibration_days"),
+        F.greatest(F.col("predicted") - F.col("half_width"), F.when(F.col("half_width").isNotNull(), 0.0)).alias("lower"),
+        (F.col("predicted") + F.col("half_width")).alias("upper"),
+    )
