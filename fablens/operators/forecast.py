@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from fablens import constants as K
 from fablens.operators import series
+from fablens.operators.models import FIT_CELLS
 
 
 def train_defect_forecast(
@@ -30,7 +31,8 @@ def train_defect_forecast(
         minInstancesPerNode=20,
         seed=seed,
     )
-    return Pipeline(stages=[assembler, learner]).fit(train)
+    few = max(1, -(-train.count() * len(assembler.getInputCols()) // FIT_CELLS))
+    return Pipeline(stages=[assembler, learner]).fit(train.coalesce(few))
 
 
 def forecast_predict(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -149,7 +149,8 @@ def _governance(sensors: DataFrame, total: str, constant: str, high: str, quaran
     return sensors.agg(
         F.count("*").alias(total),
         N.count_where(F.col("is_constant")).alias(constant),
-        N.count_where(F.col("missing_rate_pct") > K.MAX_MISSING_PCT).alias(high),
+        # By the reason, which comes from the unrounded rate as the quarantine does.
+        N.count_where(F.col("quarantine_reason") == K.REASON_MISSING).alias(high),
         N.count_where(F.col("is_quarantined")).alias(quarantined),
         N.count_where(~F.col("is_quarantined")).alias(vetted),
     )

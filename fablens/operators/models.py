@@ -40,6 +40,16 @@ def _features(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("values"))
 
 
+#: Training cells (rows times sensors) per task, about 32 MB. A fit runs hundreds of short jobs: tasks without work only cost time.
+FIT_CELLS = 4_000_000
+
+
+def fit_frame(train: DataFrame) -> DataFrame:
+    """A training frame with balanced weights and a feature vector, in as many partitions as its size asks for."""
+    rows, width = train.agg(F.count("*"), F.coalesce(F.max(F.size("values")), F.lit(0))).first()
+    return _features(with_weights(train.coalesce(max(1, -(-rows * width // FIT_CELLS)))))
+
+
 def standardize_vectors(vectors: DataFrame, means: Column, deviations: Column) -> DataFrame:
     """(x - mean) / deviation in each row; a sensor without deviation is only centred.
 
@@ -79,7 +89,7 @@ def train_logistic(train: DataFrame, max_iter: int = 1000, c: float = 1.0) -> Pi
         elasticNetParam=0.0,
         standardization=False,
     )
-    return Pipeline(stages=[scaler, learner]).fit(_features(with_weights(train)))
+    return Pipeline(stages=[scaler, learner]).fit(fit_frame(train))
 
 
 def train_random_forest(
@@ -94,7 +104,7 @@ def train_random_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    return Pipeline(stages=[learner]).fit(_features(with_weights(train)))
+    return Pipeline(stages=[learner]).fit(fit_frame(train))
 
 
 def train_gbt(train: DataFrame, iterations: int = 150, seed: int = SEED) -> PipelineModel:
@@ -108,7 +118,7 @@ def train_gbt(train: DataFrame, iterations: int = 150, seed: int = SEED) -> Pipe
         minInstancesPerNode=20,
         seed=seed,
     )
-    return Pipeline(stages=[learner]).fit(_features(with_weights(train)))
+    return Pipeline(stages=[learner]).fit(fit_frame(train))
 
 
 def score_lots(model: PipelineModel, lots: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,28 +25,25 @@ def fit_medians(train: DataFrame, by: str = "sensor_id", value: str = "value") -
 
     A quantile sketch brackets the median; then readings below the bracket are
     only counted and those inside it are counted per distinct value. Readings meet the brackets by
-    group and slot, so that a large group is dealt to many tasks, and the ranks come from running totals
-    by slices. A rank that the bracket misses is looked for again, in a wider one.
+    group and slot, the slot being that of their task, so that a large group and a hot value are dealt to many tasks, and the
+    ranks come from running totals by slices. A rank that the bracket misses is looked for again, in a wider one.
     """
-    readings = train.select(F.col(by).alias("_g"), F.col(value).alias("_x"))
-    groups = readings.groupBy("_g").agg(F.count("_x").alias("_rows"))
-    found = materialize(groups, "median-groups")
-    done, reach, left = None, REACH / SKETCH, readings.where(F.col("_x").isNotNull())
+    left = train.select(F.col(by).alias("_g"), F.col(value).alias("_x"))
+    done, reach = [], REACH / SKETCH
     while True:
         part = materialize(_bracketed_medians(left, min(reach, 0.5)), "medians")
-        done = part.where("_m is not null") if done is None else done.unionByName(part.where("_m is not null"))
-        missed = part.where("_m is null").select(F.col("_g").alias("_again"))
+        missed = part.where("_m is null and _rows > 0").select(F.col("_g").alias("_again"))
         if reach >= 0.5 or not missed.limit(1).count():
+            done.append(part)
             break
+        done.append(part.where("_m is not null or _rows = 0"))
         left = left.join(missed, F.col("_g").eqNullSafe(F.col("_again")), "left_semi")
         reach *= WIDEN
-    medians = done.select(F.col("_g").alias("_of"), F.col("_m").alias("median"))
-    joined = found.join(medians, F.col("_g").eqNullSafe(F.col("_of")), "left")
-    return materialize(joined.select(F.col("_g").alias(by), "median"), "medians")
+    return reduce(DataFrame.unionByName, done).select(F.col("_g").alias(by), F.col("_m").alias("median"))
 
 
 def _bracketed_medians(readings: DataFrame, reach: float) -> DataFrame:
-    """``_g`` and median ``_m`` of each group; NULL where the sketch's bracket does not hold it."""
+    """``_g``, its present ``_rows`` and median ``_m``; NULL where the sketch's bracket does not hold it."""
     sketch = readings.groupBy("_g").agg(
         F.percentile_approx("_x", [max(0.0, 0.5 - reach), min(1.0, 0.5 + reach)], SKETCH).alias("_b"), F.count("_x").alias("_rows")
     )
@@ -52,8 +51,8 @@ def _bracketed_medians(readings: DataFrame, reach: float) -> DataFrame:
     spread = bounds.select(
         F.col("_g").alias("_of"), "_low", "_high", "_rows", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_slot")
     )
-    slot = F.pmod(F.xxhash64("_x"), F.lit(SPREAD)).cast("int")
-    met = readings.withColumn("_at", slot).join(
+    slot = F.pmod(F.spark_partition_id(), F.lit(SPREAD))
+    met = readings.where("_x is not null").withColumn("_at", slot).join(
         spread, F.col("_g").eqNullSafe(F.col("_of")) & (F.col("_at") == F.col("_slot"))
     )
     inside = F.when(F.col("_x") >= F.col("_low"), F.col("_x"))
@@ -78,7 +77,7 @@ def _bracketed_medians(readings: DataFrame, reach: float) -> DataFrame:
         at(F.expr("(_rows + 1) div 2")).alias("_lower"), at(F.expr("_rows div 2 + 1")).alias("_upper")
     )
     exact = middle.select(F.col("_g").alias("_gm"), ((F.col("_lower") + F.col("_upper")) / 2).alias("_m"))
-    return bounds.select("_g").join(exact, F.col("_g").eqNullSafe(F.col("_gm")), "left").select("_g", "_m")
+    return bounds.select("_g", "_rows").join(exact, F.col("_g").eqNullSafe(F.col("_gm")), "left").select("_g", "_rows", "_m")
 
 
 def as_vector(stats: DataFrame, column: str, width: int, by: str = "sensor_id") -> Column:

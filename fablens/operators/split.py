@@ -5,7 +5,7 @@ cut is found by counting: rows per day, then per minute of the boundary day, per
 the boundary minute, per microsecond of that, then per id range within one
 instant. Each step is a filtered aggregate with a bounded number of groups (at most 65,536 after the days), so
 a day, second or instant that holds a third of all rows is counted, never
-collected or sorted. The split itself is a filter that reaches the scan. Within an instant rows without an id come last.
+collected or sorted. As soon as the boundary bucket has at most 65,536 rows these are put in order. The split itself is a filter that reaches the scan. Within an instant rows without an id come last.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Ids within one instant are counted in at most this many ranges per step.
+# Ids within one instant are counted in at most this many ranges per step; as many rows can be put in order at once.
 ID_RANGES = 65_536
 
 
@@ -80,6 +80,11 @@ def chronological_cut(df: DataFrame, ts: str = "event_ts", key: str = "productio
             found = _boundary(rows, F.date_trunc(unit, "ts").cast("timestamp_ntz"), F.lit(found["inside"]))
         start = _at(found["b"])
         rows = rows.where((F.col("ts") >= start) & (F.col("ts") < start + F.expr(f"interval 1 {unit}")))
+        if found["n"] <= ID_RANGES:  # few enough to be put in order: the last one of the training rows among them
+            last = rows.orderBy("ts", F.asc_nulls_last("id")).offset(found["inside"] - 1).limit(1).first()
+            if last["id"] is None:
+                raise ValueError("the training share ends among rows of one instant that have no id")
+            return Cut(last["ts"], last["id"], total, train)
     return Cut(found["b"], _nth_id(rows, "id", found["inside"]), total, train)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fablens import constants as K
 from fablens.operators import kpi, star
 from fablens.plans import checks as Q
 from fablens.plans.registry import query
@@ -87,7 +88,7 @@ def day_of_week_variance(spark, folder):
 
 def _governance(total, constant, high, quarantined, vetted):
     return f"""WITH {Q.SENSOR} SELECT count(*) AS {total}, count(*) FILTER (WHERE is_constant) AS {constant},
-        count(*) FILTER (WHERE missing_rate_pct > 50) AS {high}, count(*) FILTER (WHERE is_quarantined) AS {quarantined},
+        count(*) FILTER (WHERE quarantine_reason = '{K.REASON_MISSING}') AS {high}, count(*) FILTER (WHERE is_quarantined) AS {quarantined},
         count(*) FILTER (WHERE NOT is_quarantined) AS {vetted} FROM sensor"""
 
 

@@ -108,3 +108,17 @@ def test_no_predicted_positives(spark):
     row = evaluation.class_metrics(matrix).first()
     assert (row["precision"], row["recall"], row["f1_score"]) == (0.0, 0.0, 0.0)
     assert row["balanced_accuracy"] == 0.5
+
+
+def test_governance_counts_by_the_unrounded_rate(spark):
+    """A sensor with 50.004 % missing is quarantined for it and counted so, though its rate rounds to 50.00."""
+    from fablens.operators import kpi, star
+
+    stats = spark.createDataFrame(
+        [(1, "a", 50.004, False, 1.0), (2, "b", 50.0, False, 1.0), (3, "c", 0.0, True, 1.0), (4, "d", 100.0, True, None)],
+        "sensor_id int, sensor_code string, missing_rate double, is_constant boolean, mean double",
+    ).withColumns({c: F.lit(1.0) for c in ("std", "min", "max")})
+    sensors = star.dim_sensor(stats)
+    row = kpi.sensor_governance_summary(sensors).first()
+    assert (row["high_missing_sensors"], row["constant_sensors"], row["quarantined_sensors"], row["candidate_features_for_ml"]) == (2, 2, 3, 1)
+    assert kpi.sensor_governance_status(sensors).first()["severe_missing_gt_50pct"] == 2

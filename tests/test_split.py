@@ -85,3 +85,18 @@ def test_split_reaches_the_scan(spark, folder):
     train, _ = split.chronological_split(events, "ts", "event_id")
     plan = train._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(ts" in plan and "Exchange" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("ranges", [4, 65_536])
+def test_counted_steps_and_ordered_bucket_agree(spark, monkeypatch, ranges):
+    """With few ranges the cut is counted down to the id; with many the boundary bucket is put in order."""
+    monkeypatch.setattr(split, "ID_RANGES", ranges)
+    start = datetime(2024, 1, 1)
+    stamps = [start + timedelta(days=i % 7, seconds=i % 3, microseconds=i % 2) for i in range(60)] + [start + timedelta(days=3)] * 40
+    rows = [((i * 37) % 100, t) for i, t in enumerate(stamps)]
+    df = spark.createDataFrame(rows, "production_id bigint, event_ts timestamp_ntz")
+    ordered = sorted(rows, key=lambda r: (r[1], r[0]))
+    for ratio in (0.01, 0.3, 0.5, 0.55, 0.8, 0.99):
+        cut = split.chronological_cut(df, ratio=ratio)
+        last = ordered[int(100 * ratio) - 1]
+        assert (cut.id, cut.ts, cut.train_rows) == (*last, int(100 * ratio))
