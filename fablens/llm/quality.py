@@ -1,14 +1,15 @@
 """Document quality by hierarchical empirical Bayes: the text's own evidence, its path's and its host's.
 
 A linear classifier gives every document the probability of being good. Grouped sums of it per host and path give each site
-a mean; sites with few documents are shrunk towards their host, and hosts towards the whole corpus, by
-variances estimated from the same sums (method of moments). A document's odds are its own, moved by
+a mean; sites with few documents are shrunk towards their host, and hosts with few or unlike paths towards the whole corpus, by
+variances estimated from the same sums (expected mean squares of a nested model). A document's odds are its own, moved by
 how far its site's posterior, without the document itself, lies from the global mean.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -57,50 +58,77 @@ def fit_classifier(
     return found
 
 
-def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
-    """``site_host``, ``site_path``, ``docs``, ``total`` of p, ``host_mean`` (posterior), ``strength`` per site; and the global mean.
+@dataclass(frozen=True)
+class Spread:
+    """The global mean and the variances of documents in a path, of paths in a host and of hosts."""
 
-    ``scored`` has ``host``, ``path`` (nulls are values of their own) and ``p``. All statistics are sums per site.
+    mean: float
+    within: float
+    paths: float
+    hosts: float
+
+
+def _spread(sites: DataFrame, hosts: DataFrame) -> Spread:
+    """Variances of the nested model document = mean + host + path + rest, by equating sums of squares to their expectations."""
+    n, total, squares, parts, cells, docs_2 = sites.agg(
+        F.sum("docs"), F.sum("total"), F.sum("squares"), F.sum(F.col("total") ** 2 / F.col("docs")), F.count("*"), F.sum(F.col("docs") ** 2)
+    ).first()
+    if not n:
+        return Spread(0.5, 1.0, 1.0, 1.0)
+    groups, host_parts, path_share, host_docs_2 = hosts.agg(
+        F.count("*"), F.sum(F.col("host_total") ** 2 / F.col("host_docs")), F.sum(F.col("host_docs_2") / F.col("host_docs")), F.sum(F.col("host_docs") ** 2)
+    ).first()
+
+    def solved(found: float, expected: float, factor: float) -> float:
+        return max(LEAST_VARIANCE, (found - expected) / factor) if factor > 0 else LEAST_VARIANCE
+
+    within = solved(squares - parts, 0.0, n - cells)
+    paths = solved(parts - host_parts, (cells - groups) * within, n - path_share)
+    expected = (groups - 1) * within + (path_share - docs_2 / n) * paths
+    return Spread(total / n, within, paths, solved(host_parts - total**2 / n, expected, n - host_docs_2 / n))
+
+
+def site_statistics(scored: DataFrame) -> tuple[DataFrame, Spread]:
+    """``site_host``, ``site_path``, ``docs``, ``total`` of p, and ``host_weight``, ``host_sum`` of the host's paths; and the variances.
+
+    ``scored`` has ``host``, ``path`` (nulls are values of their own) and ``p``. All statistics are sums per site. A path's mean weighs in its
+    host by its precision, 1 / (path variance + document variance / documents), so a host of one large path is not a well-known host.
     """
     p = F.col("p")
     sites = scored.groupBy(F.col("host").alias("site_host"), F.col("path").alias("site_path")).agg(
         F.count("*").alias("docs"), F.sum(p).alias("total"), F.sum(p * p).alias("squares")
     )
     sites = materialize(sites, "sites")
-    hosts = sites.groupBy(F.col("site_host").alias("of_host")).agg(
-        F.sum("docs").alias("host_docs"),
-        F.sum("total").alias("host_total"),
-        F.sum(F.col("total") ** 2 / F.col("docs")).alias("host_parts"),
-        F.sum(F.col("docs") ** 2).alias("host_docs_2"),
-        F.count("*").alias("paths"),
+    per_host = sites.groupBy(F.col("site_host").alias("of_host")).agg(
+        F.sum("docs").alias("host_docs"), F.sum("total").alias("host_total"), F.sum(F.col("docs") ** 2).alias("host_docs_2")
     )
-    hosts = materialize(hosts, "hosts")
-    n, total, squares, parts, cells = sites.agg(
-        F.sum("docs"), F.sum("total"), F.sum("squares"), F.sum(F.col("total") ** 2 / F.col("docs")), F.count("*")
-    ).first()
-    if not n:
-        return sites.withColumn("host_mean", F.lit(0.5)).withColumn("strength", F.lit(1.0)), 0.5
-    host_count, host_parts, spread, host_spread = hosts.agg(
-        F.count("*"),
-        F.sum(F.col("host_total") ** 2 / F.col("host_docs")),
-        F.sum(F.col("host_docs_2") / F.col("host_docs")),
-        F.sum(F.col("host_docs") ** 2),
-    ).first()
-    mean = total / n
-
-    def between(found: float, groups: int, within: float, freedom: float) -> float:
-        return max(LEAST_VARIANCE, (found - groups * within) / freedom) if freedom > 0 else LEAST_VARIANCE
-
-    within = max(LEAST_VARIANCE, (squares - parts) / max(1, n - cells))
-    path_variance = between(parts - host_parts, cells - host_count, within, n - spread)
-    host_variance = between(host_parts - total**2 / n, host_count - 1, within + path_variance, n - host_spread / n)
-    host_strength = (within + path_variance) / host_variance
-    host_mean = (F.col("host_total") + host_strength * mean) / (F.col("host_docs") + host_strength)
-    joined = sites.join(hosts, sites["site_host"].eqNullSafe(hosts["of_host"]))
-    return (
-        joined.select("site_host", "site_path", "docs", "total", host_mean.alias("host_mean"), F.lit(within / path_variance).alias("strength")),
-        mean,
+    spread = _spread(sites, materialize(per_host, "hosts"))
+    weight = _weight(F.col("docs"), spread)
+    weighed = sites.groupBy(F.col("site_host").alias("of_host")).agg(
+        F.sum(weight).alias("host_weight"), F.sum(weight * F.col("total") / F.col("docs")).alias("host_sum")
     )
+    joined = sites.join(weighed, sites["site_host"].eqNullSafe(weighed["of_host"]))
+    return joined.select("site_host", "site_path", "docs", "total", "host_weight", "host_sum"), spread
+
+
+def _weight(docs: Column, spread: Spread) -> Column:
+    """Precision of a path's mean as a measurement of its host; none without documents."""
+    return F.when(docs > 0, docs / (spread.within + docs * spread.paths)).otherwise(0.0)
+
+
+def site_posterior(spread: Spread, own: Column | None = None) -> Column:
+    """Posterior mean of a site from its statistics, without a document of evidence ``own`` where one is given.
+
+    The host's mean is shrunk to the global one, the path's to the host's; without the document both are as if it did not exist.
+    """
+    docs, total = F.col("docs"), F.col("total")
+    left, sum_left = (docs, total) if own is None else (docs - 1, total - own)
+    before, now = _weight(docs, spread), _weight(left, spread)
+    mine = F.when(left > 0, now * sum_left / left).otherwise(0.0)
+    host_weight = F.col("host_weight") - before + now + 1 / spread.hosts
+    host = (F.col("host_sum") - before * total / docs + mine + spread.mean / spread.hosts) / host_weight
+    strength = spread.within / spread.paths
+    return (sum_left + strength * host) / (left + strength)
 
 
 def _odds(probability: Column) -> Column:
@@ -142,14 +170,13 @@ def judge_quality(
 
     schema = f"doc {kinds[0]}, host {kinds[1]}, path {kinds[2]}, odds double, p double"
     scored = materialize(names.mapInArrow(score, schema), "scored")
-    sites, mean = site_posteriors(scored)
+    sites, spread = site_statistics(scored)
     sites = materialize(sites, "site-posteriors")
     same = scored["host"].eqNullSafe(sites["site_host"]) & scored["path"].eqNullSafe(sites["site_path"])
     joined = scored.join(sites, same)
     # The document's own evidence does not count twice.
-    site = (F.col("total") - F.col("p") + F.col("strength") * F.col("host_mean")) / (F.col("docs") - 1 + F.col("strength"))
-    joined = joined.withColumn("p_site", site)
-    odds = F.col("odds") + _odds(F.col("p_site")) - _odds(F.lit(mean))
+    joined = joined.withColumn("p_site", site_posterior(spread, F.col("p")))
+    odds = F.col("odds") + _odds(F.col("p_site")) - _odds(F.lit(spread.mean))
     combined = 1 / (1 + F.exp(-odds))
     return joined.select(
         F.col("doc").alias(id_col), F.col("p").alias("p_text"), "p_site", combined.alias("quality"), (combined >= threshold - 1e-9).alias("kept")

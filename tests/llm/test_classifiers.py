@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fablens.llm import quality, toxicity
 
@@ -77,18 +79,74 @@ def test_quality_on_unseen_documents(corpus):
     assert [i for i, r in seen.items() if r["kept"] != (i % 6 != 1)] == []
 
 
-def test_site_posteriors(spark):
-    """Small sites shrink to their host, hosts to the global mean; all from sums."""
-    rows = [("a", "x", 0.9)] * 400 + [("a", "y", 0.5)] * 400 + [("b", "x", 0.2)] * 400 + [("b", "z", 0.9), (None, None, 0.4)]
-    noisy = [(h, p, min(0.99, max(0.01, v + R.gauss(0, 0.05)))) for h, p, v in rows]
-    sites, mean = quality.site_posteriors(spark.createDataFrame(noisy, "host string, path string, p double"))
-    found = {(r["site_host"], r["site_path"]): r for r in sites.collect()}
-    assert abs(mean - sum(r[2] for r in noisy) / len(noisy)) < 1e-9
-    assert len(found) == 5
-    host_a, host_b = found["a", "x"]["host_mean"], found["b", "x"]["host_mean"]
-    assert host_b < mean < host_a
-    lone = found["b", "z"]
-    shrunk = (lone["total"] + lone["strength"] * lone["host_mean"]) / (lone["docs"] + lone["strength"])
-    assert min(lone["total"], host_b) <= shrunk <= max(lone["total"], host_b)
-    full = found["a", "x"]
-    assert abs((full["total"] + full["strength"] * host_a) / (full["docs"] + full["strength"]) - full["total"] / 400) < 0.02
+def nested(hosts, paths, docs, host_sd, path_sd, doc_sd, seed=1):
+    r = np.random.default_rng(seed)
+    rows = []
+    for h in range(hosts):
+        own = r.normal(0.5, host_sd)
+        for p in range(paths(h)):
+            site = own + r.normal(0, path_sd)
+            rows += [(f"h{h}", f"p{p}", float(site + r.normal(0, doc_sd))) for _ in range(docs(h, p))]
+    return rows
+
+
+def expected_squares(rows):
+    """The same variances from plain loops over the documents."""
+    sites, hosts = {}, {}
+    for h, p, v in rows:
+        sites.setdefault((h, p), []).append(v)
+        hosts.setdefault(h, []).append(v)
+    n, mean = len(rows), np.mean([v for _, _, v in rows])
+    within = sum(((np.array(v) - np.mean(v)) ** 2).sum() for v in sites.values()) / (n - len(sites))
+    between_paths = sum(len(v) * (np.mean(v) - np.mean(hosts[h])) ** 2 for (h, _), v in sites.items())
+    share = sum(len(v) ** 2 / len(hosts[h]) for (h, _), v in sites.items())
+    paths = (between_paths - (len(sites) - len(hosts)) * within) / (n - share)
+    between_hosts = sum(len(v) * (np.mean(v) - mean) ** 2 for v in hosts.values())
+    rest = (len(hosts) - 1) * within + (share - sum(len(v) ** 2 for v in sites.values()) / n) * paths
+    return mean, within, paths, (between_hosts - rest) / (n - sum(len(v) ** 2 for v in hosts.values()) / n)
+
+
+SCORED = "host string, path string, p double"
+
+
+def test_variances_are_those_of_the_nested_model(spark):
+    rows = nested(60, lambda h: 1 + h % 7, lambda h, p: 1 + (h * 3 + p * 5) % 11, 0.1, 0.07, 0.05)
+    _, found = quality.site_statistics(spark.createDataFrame(rows, SCORED))
+    assert (found.mean, found.within, found.paths, found.hosts) == pytest.approx(expected_squares(rows), rel=1e-9)
+    assert (found.hosts**0.5, found.paths**0.5, found.within**0.5) == pytest.approx((0.1, 0.07, 0.05), rel=0.35)
+
+
+def test_posteriors_are_those_of_the_full_covariance(spark):
+    """Each document's site, without the document: conditional mean of a normal model with all covariances written out."""
+    rows = nested(8, lambda h: 1 + h % 3, lambda h, p: 1 + (h + 2 * p) % 5, 0.1, 0.05, 0.08, seed=4) + [("lone", "only", 0.9), (None, None, 0.2)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, " + SCORED)
+    sites, spread = quality.site_statistics(df)
+    joined = df.join(sites, df["host"].eqNullSafe(sites["site_host"]) & df["path"].eqNullSafe(sites["site_path"]))
+    found = {r["k"]: (r["loo"], r["whole"]) for r in joined.select("k", quality.site_posterior(spread, F.col("p")).alias("loo"), quality.site_posterior(spread).alias("whole")).collect()}
+    y = np.array([r[2] for r in rows])
+    host = np.array([[a[0] == b[0] for b in rows] for a in rows])
+    path = np.array([[a[:2] == b[:2] for b in rows] for a in rows])
+    shared = host * spread.hosts + path * spread.paths
+    full = shared + np.eye(len(rows)) * spread.within
+    for k in range(len(rows)):
+        for own, got in ((np.arange(len(rows)) != k, found[k][0]), (np.ones(len(rows), bool), found[k][1])):
+            want = spread.mean + shared[k, own] @ np.linalg.solve(full[np.ix_(own, own)], y[own] - spread.mean)
+            assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_sparse_sites_are_shrunk(spark):
+    """Hosts of one path each that differ by their paths alone: a host is hardly known from it, and its sites go to the global mean."""
+    rows = nested(50, lambda h: 2, lambda h, p: 200 if p == 0 else 1, 0.0, 0.15, 0.05, seed=6)
+    sites, spread = quality.site_statistics(spark.createDataFrame(rows, SCORED))
+    assert spread.hosts < 0.15**2 / 4
+    moved = sites.where("docs = 1").select(F.abs(quality.site_posterior(spread) - spread.mean), F.abs(F.col("total") - spread.mean)).collect()
+    large = sites.where("docs = 200").select(F.abs(quality.site_posterior(spread) - F.col("total") / 200)).collect()
+    assert max(r[0] for r in large) < 0.01
+    assert sum(r[0] for r in moved) < 1.1 * sum(r[1] for r in moved)
+
+
+def test_no_sites(spark):
+    sites, spread = quality.site_statistics(spark.createDataFrame([], SCORED))
+    assert sites.count() == 0 and spread.mean == 0.5
+    one, spread = quality.site_statistics(spark.createDataFrame([("a", "b", 0.7)], SCORED))
+    assert one.select(quality.site_posterior(spread, F.lit(0.7))).first()[0] == pytest.approx(0.7)
