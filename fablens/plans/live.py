@@ -122,7 +122,7 @@ def outcome_stream(session, folder):
 )
 def stream_attach_outcomes(spark, folder):
     """Units meet outcomes that arrive later; those without one come out once their 48 hours have passed."""
-    session = live.streaming_session(spark)
+    session = outcomes.join_session(spark)
     units = event_stream(session, folder).drop("raw_label")
     joined = outcomes.stream_attach_outcomes(units, outcome_stream(session, folder))
     return _replay(spark, joined.select("production_id", "tool", "raw_label"), "stream-outcomes")
@@ -132,7 +132,7 @@ def alerts_once(spark, folder):
     """Scored units as a stream of four files, each batch delivered twice; returns the folder of the tables."""
     events = B.table(spark, folder, "events")
     path, out = new_path(spark, "event-files"), new_path(spark, "alerts-once")
-    events.repartition(4, "event_id").write.parquet(path)
+    events.repartition(4).write.parquet(path)
     session = live.streaming_session(spark)
     scored = B.scored_units(live.open_stream(session, path, schema=events.schema, maxFilesPerTrigger=1))
     tables = outcomes.alert_tables(0.14)

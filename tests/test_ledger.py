@@ -96,7 +96,7 @@ def at(hours):
 
 
 def test_outcomes_by_replay_equal_the_batch_join(spark, tmp_path):
-    session = live.streaming_session(spark, 2)
+    session = outcomes.join_session(spark, 2)
     left, right, out = (str(tmp_path / n) for n in ("units", "outcomes", "out"))
     units = [(i, at(i), i % 3) for i in range(400)]
     late = [(i, at(i + i % 60), 1 if i % 7 == 0 else -1) for i in range(400) if i % 4]
