@@ -135,6 +135,21 @@ class Best:
             if self.waiting > max(1 << 14, 4 * len(self.floor) * self.k):
                 self.settle()
 
+    def offer_pairs(self, query: np.ndarray, at: np.ndarray, rows: dict) -> None:
+        """Compare single pairs of a query and one of the rows."""
+        ceiling, own = self.queries["ceiling"], self.queries["row"]
+        for a in range(0, len(query), 1 << 16):
+            q, r = query[a : a + (1 << 16)], at[a : a + (1 << 16)]
+            exact = paired(self.queries["vector"][q], rows["vector"][r])
+            good = (exact >= self.floor[q]) & (exact <= ceiling[q]) & (own[q] != rows["key"][r])
+            if self.queries["mode"].any():
+                same = self.queries["label"][q] == rows["label"][r]
+                good &= (self.queries["mode"][q] == ANY) | (same == (self.queries["mode"][q] == SAME))
+            self.pending.append((q[good], exact[good], rows["id"][r[good]], rows["key"][r[good]]))
+            self.waiting += int(good.sum())
+        if self.waiting > max(1 << 14, 4 * len(self.floor) * self.k):
+            self.settle()
+
     def settle(self) -> tuple:
         """Cut to the best; raises the floors."""
         kept = ([self.found] if self.found is not None else []) + self.pending

@@ -1,183 +1,111 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Every task reads its vectors by falling length, in buckets of ``BUCKET_ROWS``. A query's
+Every shard holds its vectors by falling length, in buckets of ``BUCKET_ROWS``. A query's
 k-th best score so far, divided by its own and the bucket's greatest length, is the cosine that
 a vector of the bucket must reach. Above 1 the bucket is skipped, as are all that follow;
 a high threshold prunes by coordinates, a low one by the vectors' own lengths.
-What is left is verified with exact integer products. Queries come in blocks of bounded size.
+What is left is verified with exact integer products. Queries reach the shards in packs, see ``meeting``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fablens.sources.shared import materialize
+from fablens.llm import meeting
 
 K = 5
 BUCKET_ROWS = 1024
-QUERY_BLOCK = 8192
 COORDINATE_COSINE = 0.5
 FOCUS = 3
 SLACK = 1e-9
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``id`` and ``vector`` (long components floor(scale * x)), one row per id.
+    """``id`` and ``vector`` (long components floor(scale * x)) of every row that can take part.
 
-    Rows with a null id, a null vector or a null or non-finite component are left out. Of rows that repeat
-    an id the greatest vector counts. Only repeated ids are brought together.
+    Rows with a null id, a null or empty vector, or a null or non-finite component are left out. Rows that repeat an id stay.
     """
-    x = F.col(vector_col)
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double")) == float("inf")))
+    x = F.col(f"`{vector_col}`")
     scaled = F.transform(x, lambda v: F.floor(F.lit(scale).cast("double") * v.cast("double")).cast("long"))
-    rows = df.filter(F.col(id_col).isNotNull() & x.isNotNull() & ~bad).select(F.col(id_col).alias("id"), scaled.alias("vector"))
-    repeated = materialize(rows.groupBy("id").count().filter("count > 1").select("id"), "repeated-ids")
-    many = rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.max("vector").alias("vector"))
-    return rows.join(repeated, "id", "left_anti").unionByName(many)
-
-
-def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
-    """The k best of each query: higher scores first, ties to smaller ids."""
-    order = np.lexsort((ids, -scores, query))
-    query, ids, scores = query[order], ids[order], scores[order]
-    begin = np.flatnonzero(np.diff(query, prepend=-1))
-    rank = np.arange(len(query)) - np.repeat(begin, np.diff(np.append(begin, len(query))))
-    kept = rank < k
-    return query[kept], ids[kept], scores[kept]
-
-
-class Search:
-    """A block of queries of one dimension, and the best found so far."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.lengths = np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
-        self.units = vectors / np.maximum(self.lengths, 1e-300)[:, None]
-        self.focus = np.argsort(-np.abs(self.units), axis=1)[:, :FOCUS]
-        self.found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        self.least = np.full(len(ids), -np.inf)
-
-    def scan(self, ids: np.ndarray, vectors: np.ndarray, lengths: np.ndarray) -> None:
-        """Search one bucket; ``lengths`` fall."""
-        longest = lengths[0]
-        active = np.flatnonzero(self.lengths * longest * (1 + SLACK) >= self.least)
-        if not len(active):
-            return
-        reach = self.lengths[active] * longest
-        cosine = np.where(reach > 0, self.least[active] / np.maximum(reach, 1e-300), -np.inf)
-        sharp = cosine >= COORDINATE_COSINE
-        pairs = [self._by_length(active[~sharp], ids, vectors, lengths)]
-        if sharp.any():
-            pairs.append(self._by_coordinates(active[sharp], cosine[sharp], ids, vectors, lengths))
-        query, row, score = (np.concatenate(c) for c in zip(*pairs))
-        good = (score >= self.least[query]) & (ids[row] != self.ids[query])
-        query, row, score = query[good], row[good], score[good]
-        if not len(query):
-            return
-        mine = [np.concatenate(c) for c in zip(self.found, (query, ids[row], score))]
-        self.found = _best(*mine, self.k)
-        counts = np.bincount(self.found[0], minlength=len(self.ids))
-        lows = np.full(len(self.ids), np.inf)
-        np.minimum.at(lows, self.found[0], self.found[2].astype(np.float64))
-        # A float below the true score, so that rounding never prunes a tie.
-        self.least = np.where(counts >= self.k, np.nextafter(lows, -np.inf), -np.inf)
-
-    def _by_length(self, active, ids, vectors, lengths):
+    rows = df.filter(F.col(f"`{id_col}`").isNotNull() & meeting.usable(x))
+    return rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), scaled.alias("vector"))
+
+
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
+
+
+class NormBuckets:
+    """The rows of one shard and dimension, by falling length."""
+
+    def __init__(self, rows: dict):
+        lengths = _lengths(rows["vector"])
+        order = np.argsort(-lengths, kind="stable")
+        self.rows, self.lengths = meeting.take(rows, order), lengths[order]
+
+    def search(self, best: meeting.Best) -> None:
+        queries = best.queries["vector"]
+        size = _lengths(queries)
+        units = queries / np.maximum(size, 1e-300)[:, None]
+        focus = np.argsort(-np.abs(units), axis=1)[:, :FOCUS]
+        for begin in range(0, len(self.lengths), BUCKET_ROWS):
+            part = slice(begin, begin + BUCKET_ROWS)
+            longest = self.lengths[begin]
+            active = np.flatnonzero(size * longest * (1 + SLACK) >= best.floor)
+            if not len(active):
+                break  # the next buckets are shorter still
+            reach = size[active] * longest
+            cosine = np.where(reach > 0, best.floor[active] / np.maximum(reach, 1e-300), -np.inf)
+            sharp = cosine >= COORDINATE_COSINE
+            rows, lengths = meeting.take(self.rows, part), self.lengths[part]
+            self._by_length(best, active[~sharp], size, rows, lengths)
+            if sharp.any():
+                sharply = active[sharp]
+                query, row = near_axes(units[sharply], focus[sharply], cosine[sharp], rows["vector"], lengths)
+                best.offer_pairs(sharply[query], row, rows)
+            best.settle()
+
+    def _by_length(self, best: meeting.Best, active: np.ndarray, size: np.ndarray, rows: dict, lengths: np.ndarray) -> None:
         """All products with the longest vectors that can still reach the threshold."""
         if not len(active):
-            return (np.zeros(0, np.int64),) * 3
-        size = self.lengths[active]
-        need = np.where(size > 0, self.least[active] / np.maximum(size, 1e-300), -np.inf).min()
+            return
+        need = np.where(size[active] > 0, best.floor[active] / np.maximum(size[active], 1e-300), -np.inf).min()
         n = int(np.searchsorted(-lengths, -need * (1 - SLACK), "right")) if need > 0 else len(lengths)
-        scores = self._products(self.vectors[active], vectors[:n])
-        own = ids[:n][None, :] == self.ids[active][:, None]
-        floor = self.least[active][:, None]
-        if n > self.k + 1:  # nothing below the k-th best of this bucket can count
-            floor = np.maximum(floor, np.partition(np.where(own, np.iinfo(np.int64).min, scores), n - self.k, axis=1)[:, n - self.k, None])
-        query, row = np.nonzero(scores >= floor)
-        return active[query], row, scores[query, row]
-
-    def _by_coordinates(self, active, cosine, ids, vectors, lengths):
-        """Vectors whose largest query coordinates fit the cosine, verified one by one."""
-        unit = vectors / np.maximum(lengths, 1e-300)[:, None]
-        fits = np.ones((len(active), len(ids)), bool)
-        cosine = np.minimum(cosine, 1) - SLACK
-        for f in range(self.focus.shape[1]):
-            at = self.focus[active, f]
-            mid = self.units[active, at]
-            width = np.sqrt(np.maximum(0, (1 - mid**2) * (1 - cosine**2))) + SLACK
-            # A cone that holds the axis itself reaches up to 1, or down to -1.
-            low = np.where(mid < -cosine + SLACK, -2, mid * cosine - width)
-            high = np.where(mid > cosine - SLACK, 2, mid * cosine + width)
-            near = unit[:, at].T
-            fits &= (near >= low[:, None]) & (near <= high[:, None])
-        query, row = np.nonzero(fits)
-        scores = np.empty(len(query), np.int64)
-        for a in range(0, len(query), 1 << 16):
-            part = slice(a, a + (1 << 16))
-            scores[part] = (self.vectors[active[query[part]]] * vectors[row[part]]).sum(1)
-        return active[query], row, scores
-
-    def _products(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        bound = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(1, left.shape[1])
-        if bound < 2**53:  # every partial sum is an exact float
-            return (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-        return left @ right.T
-
-
-def top_products(vectors: DataFrame, queries: DataFrame, k: int = K, query_block: int = QUERY_BLOCK) -> DataFrame:
+        if n:
+            best.offer(active, meeting.take(rows, slice(0, n)), lengths[0])
+
+
+def near_axes(units: np.ndarray, focus: np.ndarray, cosine: np.ndarray, vectors: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose vector, in the query's greatest coordinates, lies as near as the cosine asks for."""
+    unit = vectors / np.maximum(lengths, 1e-300)[:, None]
+    fits = np.ones((len(units), len(vectors)), bool)
+    cosine = np.minimum(cosine, 1) - SLACK
+    for f in range(focus.shape[1]):
+        at = focus[:, f]
+        mid = units[np.arange(len(units)), at]
+        width = np.sqrt(np.maximum(0, (1 - mid**2) * (1 - cosine**2))) + SLACK
+        # A cone that holds the axis itself reaches up to 1, or down to -1.
+        low = np.where(mid < -cosine + SLACK, -2, mid * cosine - width)
+        high = np.where(mid > cosine - SLACK, 2, mid * cosine + width)
+        near = unit[:, at].T
+        fits &= (near >= low[:, None]) & (near <= high[:, None])
+    return np.nonzero(fits)
+
+
+def top_products(vectors: DataFrame, is_query, k: int = K, shard_rows: int = meeting.SHARD_ROWS) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of each query's k greatest inner products.
 
-    Both tables have a unique ``id`` and a ``vector`` of longs. A query never meets its own id, nor vectors of another
-    dimension; ties go to the smaller id; with fewer than k candidates all are returned. A zero or empty vector
-    scores 0. Empty tables give no rows. Products must fit a long.
+    ``vectors`` has an ``id`` and a ``vector`` of longs; ``is_query`` is a condition on its rows. A query never meets its own row, nor vectors of another
+    dimension; rows that repeat an id are candidates each, and queries each. Ties go to the smaller id; with fewer than k candidates all are
+    returned. A zero vector scores 0. Empty tables give no rows. Products must fit a long.
     """
-    spark = vectors.sparkSession
-    queries = materialize(queries.select("id", "vector"), "queries")
-    blocks = -(-queries.count() // query_block)
-    found = None
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
-    ordered = vectors.select("id", "vector", F.size("vector").alias("dim"), length.alias("length"))
-    ordered = ordered.sortWithinPartitions(F.col("dim"), F.col("length").desc())
-    for block in range(blocks):
-        own = queries.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block) if blocks > 1 else queries
-        shared = spark.sparkContext.broadcast([(r["id"], r["vector"]) for r in own.collect()])
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            by_dim: dict[int, list] = {}
-            for key, vector in shared.value:
-                by_dim.setdefault(len(vector), []).append((key, vector))
-            searches = {
-                dim: Search(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64).reshape(len(rows), dim), k)
-                for dim, rows in by_dim.items()
-            }
-            for batch in batches:
-                ids, dims, lengths = (batch.column(i).to_numpy() for i in (0, 2, 3))
-                values = batch.column(1).flatten().to_numpy()
-                ends = np.cumsum(dims)
-                at = 0
-                while at < len(ids):
-                    dim = int(dims[at])
-                    end = min(at + BUCKET_ROWS, int(np.searchsorted(dims, dim, "right")))
-                    if dim in searches:
-                        part = values[ends[at] - dim : ends[end - 1]].reshape(end - at, dim)
-                        searches[dim].scan(ids[at:end], part, lengths[at:end])
-                    at = end
-            for search in searches.values():
-                query, ids, scores = search.found
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(search.ids[query]), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"]
-                )
-
-        part = ordered.mapInArrow(search, "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    asks = F.coalesce(is_query.cast("boolean"), F.lit(False)).alias("asks")
+    held = meeting.number_rows(vectors.select("id", "vector", F.lit(0).cast("long").alias("label"), asks))
+    queries = held.filter("asks").select(
+        "key", F.col("key").alias("row"), "label", F.lit(meeting.ANY).alias("mode"), F.lit(float("-inf")).alias("floor"), F.lit(float("inf")).alias("ceiling"), "vector"
+    )
+    found = meeting.search(held, queries, k, meeting.shard_count(held, shard_rows), NormBuckets)
+    named = held.filter("asks").select(F.col("key").alias("query"), F.col("id").alias("query_id"))
+    return found.join(named, "query").select("query_id", "rank", "vec_id", "score")

@@ -3,29 +3,29 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fablens.llm import topk
 
 
 def brute(rows, k=5):
-    ok = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+    ok = []
+    for n, (i, v) in enumerate(rows):
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
             continue
-        q = [math.floor(256 * x) for x in v]
-        ok[i] = max(ok[i], q) if i in ok else q
+        ok.append((n, i, [math.floor(256 * x) for x in v]))
     out = []
-    for i, q in ok.items():
+    for m, i, q in ok:
         if i % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ok.items() if j != i and len(v) == len(q))
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for n, j, v in ok if n != m and len(v) == len(q))
             out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
 
-def run(spark, rows):
+def run(spark, rows, **kw):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     vectors = topk.integer_vectors(df, "vec_id", "embedding", 256)
-    found = topk.top_products(vectors, vectors.filter("id % 50 = 0")).collect()
+    found = topk.top_products(vectors, F.col("id") % 50 == 0, **kw).collect()
     return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found)
 
 
@@ -57,7 +57,7 @@ def test_dominant_coordinates_in_several_buckets(spark, dim):
     q = np.floor(256 * v).astype(np.int64)
     df = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id bigint, embedding array<double>").coalesce(1)
     vectors = topk.integer_vectors(df, "vec_id", "embedding", 256).coalesce(1)
-    found = topk.top_products(vectors, vectors.filter("id % 10 = 0")).collect()
+    found = topk.top_products(vectors, F.col("id") % 10 == 0).collect()
     want = []
     for i in range(0, 6000, 10):
         scores = q @ q[i]
@@ -67,25 +67,40 @@ def test_dominant_coordinates_in_several_buckets(spark, dim):
 
 
 def test_cone_around_a_negative_axis():
-    search = topk.Search(np.array([9]), np.array([[-80, 60]]), 1)
-    search.least[:] = 100 * 100 * 0.5
-    pairs = search._by_coordinates(np.array([0]), np.array([0.5]), np.array([1]), np.array([[-100, 0]]), np.array([100.0]))
-    assert [x.tolist() for x in pairs] == [[0], [0], [8000]]
+    unit = np.array([[-0.8, 0.6]])
+    pairs = topk.near_axes(unit, np.array([[0, 1]]), np.array([0.5]), np.array([[-100, 0]]), np.array([100.0]))
+    assert [x.tolist() for x in pairs] == [[0], [0]]
 
 
 def test_odd_rows(spark):
     zero, one = [0.0, 0.0], [1.0, -0.5]
     rows = [(0, one), (1, zero), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 0.0]), (None, one)]
-    rows += [(50, zero), (6, one), (6, one), (7, [2.0, 2.0]), (7, [1.0, 1.0]), (8, [1.0]), (100, [1.0]), (150, []), (9, [-1e6, 3e6])]
+    rows += [(50, zero), (50, one), (6, one), (6, one), (7, [2.0, 2.0]), (7, [1.0, 1.0]), (8, [1.0]), (100, [1.0]), (150, []), (9, [-1e6, 3e6])]
     assert run(spark, rows) == brute(rows)
     assert run(spark, [(1, one)]) == []
     assert run(spark, [(0, one)]) == []
 
 
-def test_query_blocks(spark):
+@pytest.mark.parametrize("bucket", [1024, 16])
+def test_many_packs_meet_many_shards(spark, monkeypatch, bucket):
+    """Half of all rows ask, in 50 packs and more, over a dozen shards; nothing of it passes the driver."""
+    monkeypatch.setattr(topk, "BUCKET_ROWS", bucket)
     r = random.Random(4)
-    rows = [(i * 50, [r.random() for _ in range(4)]) for i in range(40)]
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    rows = [(i * 25, [r.gauss(0, 1) * (1 + i % 9) for _ in range(4)]) for i in range(6400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(60)
     vectors = topk.integer_vectors(df, "vec_id", "embedding", 256)
-    found = topk.top_products(vectors, vectors, query_block=7).collect()
-    assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in found) == brute(rows)
+    found = topk.top_products(vectors, F.col("id") % 50 == 0, shard_rows=500).collect()
+    q = np.array([[math.floor(256 * x) for x in v] for _, v in rows])
+    want = []
+    for i in range(0, 6400, 2):
+        scores = q @ q[i]
+        scores[i] = -(2**62)
+        order = np.lexsort((np.arange(6400), -scores))[:5]
+        want += [(i * 25, n + 1, int(j) * 25, int(scores[j])) for n, j in enumerate(order)]
+    assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in found) == want
+
+
+def test_products_near_the_range_of_a_long(spark):
+    r = random.Random(8)
+    rows = [(i, [r.choice([-1, 1]) * (2.0**22 + r.randrange(4)) for _ in range(3)]) for i in range(120)]
+    assert run(spark, rows) == brute(rows)
