@@ -113,8 +113,11 @@ def confirmed_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     spark = pairs.sparkSession
     kind = pairs.schema["a"].dataType.simpleString()
-    shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_SHARE).alias("shares"))
-    dealt = pairs.join(shares, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("part"))
+    shares = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / PIVOT_SHARE).alias("shares")), "shares")
+    # Only ids with many partners are dealt; they are few, so that pairs need not meet by a hot id to learn its shares.
+    many = materialize(shares.filter("shares > 1"), "many-shares")
+    part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("shares")), F.lit(0)).cast("int")
+    dealt = pairs.join(many, "a", "left").select("a", "b", part.alias("part"))
     members = dealt.join(texts, dealt["b"] == texts["doc"]).select("a", "part", "b", "text")
     heads = shares.join(texts, shares["a"] == texts["doc"]).select(
         "a",
@@ -270,18 +273,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = sets.groupBy("digest").agg(F.min("doc").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = materialize(classes, "classes")
     banded = classes.select(F.col("rep").alias("doc"), "size", F.explode("bands").alias("band")).distinct()
-    buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("doc").alias("pivot")).filter("n > 1")
-    buckets = materialize(buckets.select("band", "pivot"), "buckets")
-    members = materialize(banded.join(buckets, "band").select("band", "doc", "size", "pivot"), "members")
+    # The pivot's size travels with its bucket: the least and the greatest, should its id have several texts.
+    least = F.min(F.struct("doc", "size"))
+    most = F.min(F.struct("doc", (-F.col("size")).alias("size")))
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n"), least.alias("least"), most.alias("most")).filter("n > 1")
+    buckets = buckets.select("band", F.col("least.doc").alias("pivot"), F.col("least.size").alias("low"), (-F.col("most.size")).alias("high"))
+    members = materialize(banded.join(materialize(buckets, "buckets"), "band").select("band", "doc", "size", "pivot", "low", "high"), "members")
 
     wanted = members.select("doc").distinct()
     named = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter("doc is not null and text is not null")
     texts = materialize(named.join(wanted, "doc", "left_semi").distinct(), "candidate-texts")
 
-    sizes = classes.select(F.col("rep").alias("a"), F.col("size").alias("a_size"))
-    fits = 100 * F.least("size", "a_size") >= PERCENT * F.greatest("size", "a_size")
-    pairs = members.filter(F.col("doc") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "size").distinct()
-    tested = materialize(pairs.join(sizes, "a").filter(fits).select("a", "b").distinct(), "pairs")
+    fits = (100 * F.col("size") >= PERCENT * F.col("low")) & (100 * F.col("high") >= PERCENT * F.col("size"))
+    pairs = members.filter((F.col("doc") != F.col("pivot")) & fits).select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
+    tested = materialize(pairs.distinct(), "pairs")
     same = sets.select("doc", "digest").join(classes.select("digest", "rep"), "digest").filter(F.col("doc") != F.col("rep"))
     same = same.select(F.col("rep").alias("a"), F.col("doc").alias("b"))
     links = materialize(confirmed_links(tested, texts).unionByName(same), "links")
