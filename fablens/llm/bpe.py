@@ -21,6 +21,8 @@ from fablens.llm.shipping import local_path, ship_bytes
 from fablens.llm.token_counts import TOKENIZER, tokenizer_path
 from fablens.sources.shared import discard, materialize
 
+#: Longer pieces stay out of the lexicon.
+LEXICON_BYTES = 64
 LEXICON_WORDS = 1 << 16
 KNOWN_PIECES = 1 << 20
 NONE = np.iinfo(np.int64).max
@@ -348,10 +350,11 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, text_col: str, words: int) -> list[bytes]:
-    """At most ``words`` pieces that are the most frequent in all texts, in byte order.
+    """About ``words`` pieces that are the most frequent in all texts, in byte order.
 
     Counted exactly over the corpus. The cut is a count class, so that neither a sort nor a
-    count of the whole vocabulary meets in one place.
+    count of the whole vocabulary meets in one place; of the class at the cut a share is taken by hash. Pieces above
+    ``LEXICON_BYTES`` bytes are neither counted nor held: the lexicon has at most about ``words`` times that size.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +369,10 @@ def frequent_words(docs: DataFrame, text_col: str, words: int) -> list[bytes]:
                 if not len(starts):
                     continue
                 ends, data = np.append(starts[1:], len(buffer)), buffer.tobytes()
-                unique, first, n = np.unique(T.piece_hashes(buffer, starts)[0], return_index=True, return_counts=True)
+                short = ends - starts <= LEXICON_BYTES
+                hashes = T.piece_hashes(buffer, starts)[0][short]
+                starts, ends = starts[short], ends[short]
+                unique, first, n = np.unique(hashes, return_index=True, return_counts=True)
                 keys, counts, texts = held
                 at = np.searchsorted(keys, unique)
                 known = np.zeros(len(unique), bool)
@@ -389,15 +395,18 @@ def frequent_words(docs: DataFrame, text_col: str, words: int) -> list[bytes]:
         docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
     )
     classes = counted.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("class")).agg(F.count("*").alias("words"))
-    cut, total = None, 0
+    above, left, share = None, words, 0.0
     for row in sorted(classes.collect(), key=lambda r: -r["class"]):  # at most 16 * 63 classes
-        total += row["words"]
-        if total > words:
+        above = row["class"]
+        if row["words"] > left:
+            share = left / row["words"]
             break
-        cut = row["class"]
+        left, share = left - row["words"], 1.0
     found = []
-    if cut is not None:
-        frequent = counted.filter(F.floor(F.log2("n") * 16).cast("int") >= cut)
+    if above is not None:
+        place = F.floor(F.log2("n") * 16).cast("int")
+        some = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+        frequent = counted.filter((place > above) | ((place == above) & some))
         found = sorted(bytes(r["word"]) for r in frequent.select("word").collect())
     discard(counted)
     return found

@@ -64,6 +64,15 @@ def test_frequent_words_are_counted_over_all(documents):
     assert bpe.frequent_words(documents(rows), "text", 1) == [b" three"]
 
 
+def test_the_lexicon_is_bounded(documents):
+    """A class larger than the lexicon gives a share of itself, and long pieces none, however frequent."""
+    many = " ".join(f"word{i}" for i in range(4000))
+    found = bpe.frequent_words(documents([(i, many) for i in range(5)]), "text", 1000)
+    assert 850 < len(found) < 1150
+    long = "x" * 65 + "中" * 300 + "x"
+    assert bpe.frequent_words(documents([(i, long + " short") for i in range(5)]), "text", 10) == [b" short"]
+
+
 def test_token_counts(documents, library):
     rows = [(i if i % 50 else None, t) for i, t in enumerate(texts())]
     out = token_counts.token_counts(documents(rows)).collect()
