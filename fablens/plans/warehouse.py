@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from fablens import constants as K
@@ -14,7 +12,7 @@ from fablens.plans import checks as Q
 from fablens.plans.registry import query
 from fablens.sources import bindings as B
 from fablens.sources import sinks, telemetry
-from fablens.sources.shared import materialize, new_path
+from fablens.sources.shared import materialize, new_name, new_path
 
 
 def units(spark, folder):
@@ -121,7 +119,7 @@ def star_join_bucketed(spark, folder):
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sides = [
         sinks.write_bucketed(
-            table, f"fablens_{name}_{uuid.uuid4().hex}", "production_id", buckets, new_path(spark, f"bucketed-{name}")
+            table, new_name(spark, name), "production_id", buckets, new_path(spark, f"bucketed-{name}")
         )
         for name, table in (("production", star.dim_production_entity(u)), ("quality", star.fact_quality_outcome(u)))
     ]

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: dict[str, list[str]] = {}
+_named: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -66,6 +67,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return found
 
 
+def new_name(spark: SparkSession, label: str) -> str:
+    """A name for a catalog table that ``cleanup`` drops."""
+    name = f"fablens_{label}_{uuid.uuid4().hex}"
+    _named.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
@@ -83,6 +91,8 @@ def discard(*tables: DataFrame) -> None:
 
 def cleanup(spark: SparkSession) -> int:
     """Remove everything the session's calls have written and not discarded; returns how many tables."""
+    for name in _named.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
     paths = _written.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         _remove(spark, path)

@@ -144,6 +144,6 @@ def staging_payload(vectors: DataFrame) -> DataFrame:
 
 
 def read_payload(staged: DataFrame, column: str = "sensor_data", *keep: str) -> DataFrame:
-    """JSON payload back to typed long readings."""
+    """JSON payload back to typed long readings. Exploded in the outer form, as in ``to_readings``: the text is parsed once per row."""
     parsed = F.from_json(F.col(column), "map<string,double>")
-    return staged.select(*keep, F.explode(parsed).alias("sensor_code", "value"))
+    return staged.select(*keep, F.explode_outer(parsed).alias("sensor_code", "value")).where("sensor_code is not null")

@@ -228,3 +228,12 @@ def test_published_summary_of_a_590_sensor_file(spark, tmp_path):
     assert str(summary["timestamp_start"]) == "2008-07-19 11:55:00"
     assert summary["quality_status"] == "WARNING"
     assert star.candidate_sensors(star.dim_sensor(stats)).count() == 446
+
+
+def test_cleanup_drops_catalog_tables(spark, folder):
+    from fablens.plans import QUERIES
+
+    QUERIES["star_join_bucketed"](spark, folder).count()
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("fablens_")]
+    shared.cleanup(spark)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("fablens_")]
