@@ -88,12 +88,16 @@ def _landing_sql(url: str) -> str:
     """The address that ``url_filter.landing_url`` gives, in DuckDB's dialect."""
     host = f"translate(regexp_extract({url}, '://([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}')"
     bare = f"regexp_replace({host}, ':(?:80|443)$', '')"
-    site = rf"regexp_replace({bare}, '^(?:(?:{'|'.join(url_filter.MIRRORS)})\.)+([^.]+\.)', '\1')"
-    path = rf"regexp_replace(regexp_extract({url}, '://[^/?#]*([^?#]*)', 1), '(?:/index)?(?:\.html?)?/*$', '')"
+    stripped = rf"regexp_replace({bare}, '^(?:(?:{'|'.join(url_filter.MIRRORS)})\.)+([^.]+\.)', '\1')"
+    registry = rf"regexp_matches({stripped}, '^(?:{'|'.join(url_filter.REGISTRY_LABELS)})\.[a-z][a-z]$')"
+    site = f"CASE WHEN {registry} THEN {bare} ELSE {stripped} END"
+    own = f"translate(regexp_extract({url}, '^([^:/?#]*)://', 1), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+    scheme = f"CASE WHEN {own} IN ('', 'http', 'https') THEN 'https' ELSE {own} END"
+    path = rf"regexp_replace(rtrim(regexp_extract({url}, '://[^/?#]*([^?#]*)', 1), '/'), '(?:/index)?(?:\.html?)?$', '')"
     asked = rf"string_split(regexp_extract({url}, '\?([^#]*)', 1), '&')"
     names = ", ".join(f"'{n}'" for n in url_filter.TRACKING)
     kept = f"array_to_string(list_sort(list_filter({asked}, lambda p: p <> '' AND split_part(p, '=', 1) NOT IN ({names}))), '&')"
-    return f"'https://' || {site} || {path} || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END"
+    return f"{scheme} || '://' || {site} || {path} || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END"
 
 
 def _rule_sql(host: str, path: str, value) -> str:

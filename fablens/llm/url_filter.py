@@ -23,6 +23,8 @@ RULES = [
 ]
 # Hosts that send visitors on to the bare host, and query parameters that do not change the page.
 MIRRORS = ("www", "m")
+# Registries' own second labels: before a country's two letters no site's name but where names begin, so nothing is stripped down to it.
+REGISTRY_LABELS = ("ac", "co", "com", "edu", "gob", "gov", "ne", "net", "or", "org")
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "ref")
 # Named character references that stand in addresses; the ampersand is decoded last.
 REFERENCES = {"sol": "/", "quest": "?", "equals": "=", "colon": ":", "num": "#", "period": ".", "quot": '"', "apos": "'"}
@@ -51,15 +53,19 @@ def _fitting(host: Column, path: Column, rules: list[tuple[str, str, str]], valu
 
 
 def landing_url(url: Column) -> Column:
-    """Where an address redirects by convention: https, bare host, no fragment, tracking, suffix or last slash."""
+    """Where an address redirects by convention: https, bare host, no fragment, tracking, suffix or last slash. Other schemes than http stay what they are."""
+    scheme = F.translate(F.regexp_extract(url, r"^([^:/?#]*)://", 1), UPPER, LOWER)
+    scheme = F.when(scheme.isin("", "http", "https"), "https").otherwise(scheme)
     bare = F.regexp_replace(url_host(url), r":(?:80|443)$", "")
-    host = F.regexp_replace(bare, rf"^(?:(?:{'|'.join(MIRRORS)})\.)+([^.]+\.)", "$1")
-    path = F.regexp_replace(url_path(url), r"(?:/index)?(?:\.html?)?/*$", "")
+    stripped = F.regexp_replace(bare, rf"^(?:(?:{'|'.join(MIRRORS)})\.)+([^.]+\.)", "$1")
+    host = F.when(stripped.rlike(rf"^(?:{'|'.join(REGISTRY_LABELS)})\.[a-z][a-z]$"), bare).otherwise(stripped)
+    # Slashes go first: a pattern that ends in any number of them takes quadratic time on a long run.
+    path = F.regexp_replace(F.rtrim(url_path(url), F.lit("/")), r"(?:/index)?(?:\.html?)?$", "")
     asked = F.regexp_extract(url, r"\?([^#]*)", 1)
     kept = F.array_join(
         F.array_sort(F.filter(F.split(asked, "&"), lambda p: (p != "") & ~F.split(p, "=")[0].isin(*TRACKING))), "&"
     )
-    return F.concat(F.lit("https://"), host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
+    return F.concat(scheme, F.lit("://"), host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
 
 def _decoded(text: Column) -> Column:

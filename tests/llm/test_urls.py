@@ -1,4 +1,10 @@
+import time
+
+import duckdb
+from pyspark.sql import functions as F
+
 from fablens.llm import url_filter
+from fablens.llm.queries import _landing_sql
 
 PAGES = "page_id bigint, url string, html string, host string, verdict string"
 
@@ -91,5 +97,34 @@ def test_blocks_reach_pages_over_relative_links(spark):
     assert judge(spark, [(1, "http://b.com/x/y", link), (2, "http://b.com/x/y/", None)])[2]["verdict"] == "block"
 
 
+def test_conventions_do_not_unite_strangers(spark):
+    """Hosts under a registry's own label stay apart, as do other schemes; long runs of slashes take no time."""
+    slashes = "/" * 200_000
+    urls = {
+        "http://m.co.uk/x": "https://m.co.uk/x",
+        "http://www.com.au/": "https://www.com.au",
+        "http://www.m.site.co.uk/a/index.html//": "https://site.co.uk/a",
+        "https://m.example.org:443/i.htm/": "https://example.org/i",
+        "FTP://www.a.net/x.html": "ftp://a.net/x",
+        "http://a.net//index.html": "https://a.net/",
+        f"http://a.net/{slashes}x{slashes}": f"https://a.net/{slashes}x",
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    began = time.perf_counter()
+    found = {r["url"]: r["landing"] for r in df.select("url", url_filter.landing_url(F.col("url")).alias("landing")).collect()}
+    assert found == urls
+    assert time.perf_counter() - began < 20
+
+
+def test_the_check_reads_the_same_landing_address(spark):
+    """The SQL of op5 on a table of every convention."""
+    urls = ["http://m.co.uk/x", "ftp://www.a.net/x", "https://www.a.net:80//y/index.htm/?b=1&ref=x&a=2#f", "http://m.m.b.org", "x", "://c.net/"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE u AS SELECT unnest(?) AS url", [urls])
+    want = dict(con.execute(f"SELECT url, {_landing_sql('url')} FROM u").fetchall())
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r[0]: r[1] for r in df.select("url", url_filter.landing_url(F.col("url"))).collect()} == want
+
+
 def test_empty_table(spark):
     assert judge(spark, []) == {}
