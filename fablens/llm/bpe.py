@@ -431,6 +431,7 @@ def encode_and_decode(
     strings inside texts become their ids. ``decoded`` is the text of the ids; bytes that are not
     UTF-8 become replacement characters. A null text counts as empty. Null and repeated ids
     stay as they are; an empty table gives no rows; other columns are not read.
+    A very long text is worked whole, as one chunk, in about 30 times its size of memory.
     """
     lexicon = build_lexicon(docs, text_col, tokenizer, lexicon_words)
     name = ship_bytes(docs.sparkSession, "lexicon", lexicon.to_bytes())

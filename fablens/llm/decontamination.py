@@ -276,6 +276,7 @@ def find_leaks(
     sequence of terms, with 1 for all three figures: an item of one word matches every text that holds the word. A character of a
     script without spaces is a term of its own, retrieved in pairs. Null and empty texts match nothing; a null id stays null. Benchmark rows that share an id, or have none,
     are searched one by one and reported under it; of rows that repeat an id the best match of an item counts. Empty tables give no rows; other columns are not read.
+    A very long text is worked whole, as one chunk, in about 30 times its size of memory.
     """
     spark = docs.sparkSession
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
@@ -301,6 +302,9 @@ def find_leaks(
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no confirmed leak; rows with a null id stay."""
+    """The rows of ``docs``, all columns, that hold no confirmed leak; rows with a null id stay.
+
+    Of rows that repeat an id all go if one of them leaks; an empty benchmark removes nothing, an empty table stays empty.
+    """
     leaks = materialize(find_leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("leaking")).distinct(), "leaks")
     return docs.join(leaks, docs[id_col] == leaks["leaking"], "left_anti")

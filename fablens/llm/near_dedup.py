@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links; ``kept`` marks that document. A null or empty text, or one of white
     space, has no shingles, is linked with nothing and kept. A null id takes no part: its
     component is null and it is kept. Rows that repeat an id are one document, linked by any of their
-    texts. An empty table gives no rows; other columns are not read.
+    texts. An empty table gives no rows; other columns are not read. A very long text is worked whole, as one chunk, in about 30 times its size of memory.
     """
     signed = materialize(signatures(docs, id_col, text_col), "signatures")
     sets = signed.filter(F.col("doc").isNotNull() & F.col("digest").isNotNull())

@@ -150,7 +150,7 @@ def judge_quality(
 
     A null text counts as empty; its evidence is neutral (probability 1/2), as is everything without labelled
     rows, and neutral documents of neutral sites are kept. Null hosts and paths are sites of their own. Null and repeated ids stay as
-    they are; an empty table gives no rows; other columns are not read.
+    they are; an empty table gives no rows; other columns are not read. A very long text is worked whole, as one chunk, in about 30 times its size of memory.
     """
     model = fit_classifier(docs, labels, label_col, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)

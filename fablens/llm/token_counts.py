@@ -3,7 +3,7 @@
 Each text is cut at safe boundaries: before a space or line feed that follows a visible
 ASCII character, and before a mark that follows an ASCII letter. No token of a byte-level
 pre-tokenizer spans such a cut, so the counts of the parts add up, and a very long text
-never reaches the library in one call. Within a task
+reaches the library in parts; only a stretch without a boundary (a script without spaces, base64) goes in one call. Within a task
 equal parts are encoded once; the calls get batches of about equal bytes. Only lengths leave
 the function.
 """

@@ -147,7 +147,7 @@ def judge_toxicity(
     """``id``, ``p_junk``, ``p_toxic`` and ``rejected`` (p_toxic >= threshold) of every row.
 
     ``labels`` has ``quality`` and ``toxic`` as 0/1. Null and empty texts are never rejected, nor is anything without
-    labelled rows. Null and repeated ids stay as they are; an empty table gives no rows.
+    labelled rows. Null and repeated ids stay as they are; an empty table gives no rows. A very long text is worked whole, as one chunk, in about 30 times its size of memory.
     """
     chain = fit_chain(docs, toxicity_labels(labels, id_col), CATEGORIES, id_col, text_col)
     scored = score_documents(docs.select(id_col, text_col), chain, CATEGORIES, id_col, text_col)
@@ -155,7 +155,10 @@ def judge_toxicity(
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not rejected; ``p_junk`` and ``p_toxic`` columns of the table's own stay."""
+    """The rows of ``docs``, all columns, that are not rejected; ``p_junk`` and ``p_toxic`` columns of the table's own stay.
+
+    Repeated rows and ids are judged row by row; without labelled rows all stay; an empty table stays empty.
+    """
     chain = fit_chain(docs, toxicity_labels(labels, id_col), CATEGORIES, id_col, text_col)
     if chain is None:
         return docs

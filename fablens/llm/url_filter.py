@@ -172,7 +172,7 @@ def judge_urls(
     is blocked if its component holds a blocked address and no explicitly allowed one, else
     allowed: an explicit allow comes before any block that is only carried over. A null url, or one
     without ``://``, has empty host and path, no aliases and the verdict allow. Repeated rows are judged
-    alike; an empty table gives no rows; other columns are not read.
+    alike; an empty table gives no rows; other columns are not read. Long addresses are read whole.
     """
     links = alias_edges(pages, url_col, html_col)
     if edges is not None:
