@@ -150,3 +150,50 @@ def test_no_sites(spark):
     assert sites.count() == 0 and spread.mean == 0.5
     one, spread = quality.site_statistics(spark.createDataFrame([("a", "b", 0.7)], SCORED))
     assert one.select(quality.site_posterior(spread, F.lit(0.7))).first()[0] == pytest.approx(0.7)
+
+
+def plain_logistic(x, y, penalty=1e-3, steps=60):
+    """Newton's method for the mean log loss plus half the squared weights of scaled features; (intercept, weights)."""
+    deviation = x.std(0, ddof=1)
+    used = deviation > 0
+    z = np.column_stack([np.ones(len(x)), x[:, used] / deviation[used]])
+    ridge = np.diag([0.0] + [penalty] * int(used.sum()))
+    w = np.zeros(z.shape[1])
+    loss = lambda v: np.mean(np.logaddexp(0, z @ v) - y * (z @ v)) + 0.5 * v @ ridge @ v
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-(z @ w)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z / len(x) + ridge + 1e-12 * np.eye(len(w)), z.T @ (p - y) / len(x) + ridge @ w)
+        scale = 1.0
+        while loss(w - scale * step) > loss(w) and scale > 1e-6:
+            scale /= 2
+        w = w - scale * step
+    weights = np.zeros(x.shape[1])
+    weights[used] = w[1:] / deviation[used]
+    return w[0], weights
+
+
+def test_the_chain_equals_a_plain_one(spark, corpus):
+    """Same features, own folds loop and own fits: junk from shape and terms, toxic from terms and the odds that models of other folds give."""
+    docs, labels, _ = corpus
+    chain = toxicity.fit_chain(docs, toxicity.toxicity_labels(labels), toxicity.CATEGORIES)
+    known = toxicity.labelled_sample(docs, toxicity.toxicity_labels(labels), "doc_id", "text", toxicity.CATEGORIES, toxicity.SAMPLE)
+    table = toxicity.feature_table(known, chain.selection, toxicity.CATEGORIES)
+    fold = F.pmod(F.xxhash64(F.lit("fold"), F.col("doc")), F.lit(toxicity.FOLDS))
+    rows = table.select("values", "junk", "toxic", fold.alias("fold")).collect()
+    x, junk, toxic, folds = (np.array([r[c] for r in rows], float) for c in ("values", "junk", "toxic", "fold"))
+    shapes = len(toxicity.SHAPES)
+    clip = lambda v: np.clip(v, -toxicity.LIMIT, toxicity.LIMIT)
+    first = plain_logistic(x, junk)
+    odds = np.zeros(len(x))
+    for k in range(toxicity.FOLDS):
+        intercept, weights = plain_logistic(x[folds != k], junk[folds != k])
+        odds[folds == k] = clip(intercept + x[folds == k] @ weights)
+    second = plain_logistic(np.column_stack([x[:, shapes:], odds]), toxic)
+    own_odds = clip(first[0] + x @ first[1])
+    want = 1 / (1 + np.exp(-clip(second[0] + np.column_stack([x[:, shapes:], own_odds]) @ second[1])))
+    (i1, w1), (i2, w2) = chain.models
+    got_odds = clip(i1 + x @ w1)
+    got = 1 / (1 + np.exp(-clip(i2 + np.column_stack([x, got_odds]) @ w2)))
+    assert np.abs(1 / (1 + np.exp(-got_odds)) - 1 / (1 + np.exp(-own_odds))).max() < 0.02
+    assert np.abs(got - want).max() < 0.02
+    assert ((got >= toxicity.THRESHOLD) == (want >= toxicity.THRESHOLD)).all()
