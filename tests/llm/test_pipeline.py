@@ -65,7 +65,7 @@ def test_tokens(stages):
 
 def test_queries_are_registered(spark, folder):
     numbers = {n.split("_")[0] for n in QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
