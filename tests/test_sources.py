@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +190,62 @@ def test_a_cluster_needs_a_shared_folder():
         shared.shared_folder(Session())
 
 
+class Clustered:
+    """The session, or a part of it, as one outside local mode sees it."""
+
+    def __init__(self, real, **changed):
+        self.real, self.changed = real, changed
+
+    def __getattr__(self, name):
+        return self.changed[name] if name in self.changed else getattr(self.real, name)
+
+
+def clustered(spark, folder, **changed):
+    class Conf:
+        def get(self, *_):
+            return folder
+
+    return Clustered(spark, sparkContext=Clustered(spark.sparkContext, master="spark://host:7077"), conf=Conf(), **changed)
+
+
+def test_a_cluster_takes_a_bare_path_that_is_shared(spark, tmp_path):
+    session = clustered(spark, f"{tmp_path}/")
+    assert shared.shared_folder(session) == str(tmp_path)
+    assert not any((tmp_path / "fablens").iterdir())
+    assert shared.new_path(session, "x").startswith(f"{tmp_path}/fablens/x-")
+
+
+def test_a_cluster_refuses_a_bare_path_that_loses_rows(spark, tmp_path):
+    """Some tasks' files are not where the driver looks for them."""
+    session = clustered(spark, str(tmp_path), range=lambda *_: spark.range(3))
+    with pytest.raises(RuntimeError, match="all share"):
+        shared.shared_folder(session)
+
+
+ON_A_CLUSTER = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from fablens.operators import selection
+conf = {"spark.master": "local-cluster[2,1,1024]", "spark.executor.memory": "700m", "spark.checkpoint.dir": sys.argv[2] + "/kept",
+        "spark.local.dir": sys.argv[2] + "/local", "spark.sql.warehouse.dir": sys.argv[2] + "/warehouse", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "2", "spark.driver.host": "127.0.0.1"}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+rows = spark.range(0, 1001, 1, 4).select((F.col("id") % 2).alias("tool"), F.col("id").cast("double").alias("value"))
+print("MEDIANS", sorted((r["tool"], r["median"]) for r in selection.fit_medians(rows, by="tool").collect()))
+"""
+
+
+def test_tables_are_kept_on_a_cluster(tmp_path):
+    """Two executors of their own and a bare path, as in spark-defaults.conf."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ended = subprocess.run(
+        [sys.executable, "-c", ON_A_CLUSTER, root, str(tmp_path)], capture_output=True, text=True, timeout=180
+    )
+    assert "MEDIANS [(0, 500.0), (1, 500.0)]" in ended.stdout, ended.stderr[-2000:]
+
+
 def test_materialized_size_is_known(spark):
     small = shared.materialize(spark.range(10), "ten")
     size = small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
