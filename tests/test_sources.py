@@ -222,6 +222,20 @@ def test_a_cluster_refuses_a_bare_path_that_loses_rows(spark, tmp_path):
         shared.shared_folder(session)
 
 
+def test_executors_that_join_later_are_probed(spark, tmp_path, monkeypatch):
+    there, probes = {"driver:1"}, []
+    monkeypatch.setattr(shared, "_executors", lambda _: set(there))
+    monkeypatch.setattr(shared, "_sees_all_files", lambda _, folder, executors: executors < 3 and not probes.append(executors))
+    session = clustered(spark, str(tmp_path))
+    for joins in ("a:1", "b:1"):
+        shared.shared_folder(session)
+        shared.shared_folder(session)
+        there.add(joins)
+    assert probes == [1, 2]
+    with pytest.raises(RuntimeError, match="all share"):
+        shared.shared_folder(session)
+
+
 ON_A_CLUSTER = """
 import sys
 sys.path.insert(0, sys.argv[1])
