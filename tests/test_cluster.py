@@ -14,6 +14,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 KEPT = [
     "audit_append",
+    "average_precision",
 ]
 
 RUN = """
