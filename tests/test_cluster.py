@@ -16,6 +16,7 @@ KEPT = [
     "audit_append",
     "average_precision",
     "candidate_set_difference",
+    "champion",
 ]
 
 RUN = """
