@@ -17,6 +17,7 @@ KEPT = [
     "average_precision",
     "candidate_set_difference",
     "champion",
+    "champion_alerts",
 ]
 
 RUN = """
