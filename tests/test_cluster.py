@@ -18,6 +18,7 @@ KEPT = [
     "candidate_set_difference",
     "champion",
     "champion_alerts",
+    "champion_drivers",
 ]
 
 RUN = """
