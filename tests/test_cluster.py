@@ -19,6 +19,7 @@ KEPT = [
     "champion",
     "champion_alerts",
     "champion_drivers",
+    "composite_rank",
 ]
 
 RUN = """
