@@ -20,6 +20,7 @@ KEPT = [
     "champion_alerts",
     "champion_drivers",
     "composite_rank",
+    "conformal_bounds",
 ]
 
 RUN = """
