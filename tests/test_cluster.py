@@ -21,6 +21,7 @@ KEPT = [
     "champion_drivers",
     "composite_rank",
     "conformal_bounds",
+    "conformal_bounds_by_tool",
 ]
 
 RUN = """
