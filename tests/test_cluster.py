@@ -23,6 +23,7 @@ KEPT = [
     "conformal_bounds",
     "conformal_bounds_by_tool",
     "corrected_daily_cells",
+    "explain_boosted",
 ]
 
 RUN = """
