@@ -24,6 +24,7 @@ KEPT = [
     "conformal_bounds_by_tool",
     "corrected_daily_cells",
     "explain_boosted",
+    "explain_logistic",
 ]
 
 RUN = """
