@@ -25,6 +25,7 @@ KEPT = [
     "corrected_daily_cells",
     "explain_boosted",
     "explain_logistic",
+    "explain_forest",
 ]
 
 RUN = """
