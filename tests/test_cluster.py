@@ -26,6 +26,7 @@ KEPT = [
     "explain_boosted",
     "explain_logistic",
     "explain_forest",
+    "feature_matrix",
 ]
 
 RUN = """
