@@ -28,6 +28,7 @@ KEPT = [
     "explain_forest",
     "feature_matrix",
     "fit_medians_by_tool",
+    "feature_ranking",
 ]
 
 RUN = """
