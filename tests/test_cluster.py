@@ -29,6 +29,7 @@ KEPT = [
     "feature_matrix",
     "fit_medians_by_tool",
     "feature_ranking",
+    "forecast_bounds",
 ]
 
 RUN = """
