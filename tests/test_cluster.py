@@ -30,6 +30,7 @@ KEPT = [
     "fit_medians_by_tool",
     "feature_ranking",
     "forecast_bounds",
+    "fit_medians",
 ]
 
 RUN = """
