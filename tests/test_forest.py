@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 
 from fablens.operators import forest, models
+from fablens.plans import learned
 from fablens.sources.shared import materialize
 
 ROWS, SENSORS = 1500, 6
@@ -90,3 +91,17 @@ def test_rows_that_come_twice_weigh_twice(spark):
     twice = once.union(once)
     one, two = (forest.importances(d, {0: 0.75, 1: 1.5}, d.count(), 2, 1, 30, 42, 2, False) for d in (once, twice))
     assert one == pytest.approx(two, abs=1e-9)
+
+
+def test_learned_ranking_blends_without_a_model(train, monkeypatch):
+    """feature_ranking: the forest's importance and mutual information of every sensor, no fitted forest on the driver."""
+    monkeypatch.setattr(models, "train_random_forest", None)
+    sensors = [11, 12, 13, 14, 15, 16]
+    rows = {r["sensor_id"]: r for r in learned.learned_ranking(train, sensors).collect()}
+    assert sorted(rows) == sensors
+    top = {c: max(r[c] for r in rows.values()) for c in ("rf_importance", "mutual_info")}
+    for r in rows.values():
+        blend = 0.7 * r["rf_importance"] / top["rf_importance"] + 0.3 * r["mutual_info"] / top["mutual_info"]
+        assert r["composite_score"] == pytest.approx(blend, abs=1e-9)
+    assert rows[15]["composite_score"] == 0  # constant
+    assert max(rows, key=lambda s: rows[s]["rf_importance"]) in (11, 12)  # the two that the class was made of
